@@ -1,5 +1,9 @@
 """Text expressions."""
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 # The characters with the Unicode White_Space property. Spark's one-argument trim only
@@ -9,9 +13,6 @@ WHITESPACE = "".join(map(chr, [
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 ]))
 
-_WORD = "[0-9A-Za-z_]"
-_BOUNDARY = f"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
-
 
 def trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
@@ -21,16 +22,36 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(trimmed(text), F.lit(""))
 
 
+def _java(pattern: str) -> str:
+    """The same RE2 meaning in Java syntax.
+
+    Four constructs differ outside plain ASCII lines and are spelled out: word boundaries are
+    ASCII, ``\\s`` has no vertical tab, ``$`` does not skip a final newline and ``.`` stops only
+    at a newline.
+    """
+    pattern = re.sub(r"^\\b", "(?<![0-9A-Za-z_])", pattern)
+    pattern = re.sub(r"\\b$", "(?![0-9A-Za-z_])", pattern)
+    return "(?d)" + pattern.replace(r"\s", r"[\t\n\f\r ]").replace("$", r"\z")
+
+
+def _opening_word(alternative: str) -> str:
+    """The plain text every match of the alternative begins with."""
+    word = re.match(r"(?:\\b)?([0-9A-Za-z ]*)", alternative)
+    optional = alternative[word.end():word.end() + 1] in ("?", "*", "{")
+    return word[1][:-1] if optional else word[1]
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """True where an RE2-syntax pattern occurs in the text.
+    """True where an RE2-syntax pattern (alternatives of words) occurs in the text.
 
-    Java reads four constructs differently outside plain ASCII lines, so they are spelled out:
-    word boundaries are ASCII, ``\\s`` has no vertical tab, ``$`` does not skip a final newline
-    and ``.`` stops only at a newline.
+    A plain byte search is about ten times cheaper than a regular expression, so each alternative
+    is searched by its opening word first, and the expression runs only on texts that hold it.
     """
-    java = (
-        pattern.replace(r"\b", _BOUNDARY)
-        .replace(r"\s", r"[\t\n\f\r ]")
-        .replace("$", r"\z")
-    )
-    return text.rlike("(?d)" + java)
+    def occurs(alternative: str) -> Column:
+        word = _opening_word(alternative)
+        if word == alternative:
+            return F.contains(text, F.lit(word))
+        full = text.rlike(_java(alternative))
+        return F.contains(text, F.lit(word)) & full if word else full
+
+    return reduce(or_, map(occurs, pattern.split("|")))

@@ -23,6 +23,6 @@ def keep_latest(rows: DataFrame, keys: list[str], newest_first: list[Column]) ->
     The remaining columns break ties, so the kept row does not depend on task order. Each
     map task keeps one row per key before the shuffle, so a hot key does not reach one task whole.
     """
-    ties = [F.col(c).asc_nulls_last() for c in rows.columns if c not in keys]
+    ties = [c for c in rows.columns if c not in (*keys, "as_of_date")]
     order = Window.partitionBy(*keys).orderBy(*newest_first, *ties)
     return rows.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")

@@ -1,6 +1,6 @@
 """Niche labels and expiry status."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from obligato import fixed_values as fixed
 from obligato.functions.dates import days_between
@@ -9,14 +9,20 @@ from obligato.operators.labels import first_match
 
 
 def with_description_rules(rows: DataFrame, text: str = "description") -> DataFrame:
-    """Adds ``has_recruiting_terms`` and ``description_exclusion`` (NULL = no rule hit)."""
-    upper = F.upper(text)
-    recruiting = matches(upper, fixed.RECRUITING_TERMS)
-    return rows.select(
-        "*",
-        recruiting.alias("has_recruiting_terms"),
-        first_match(upper, fixed.DESCRIPTION_RULES, recruiting).alias("description_exclusion"),
-    )
+    """Adds ``has_recruiting_terms`` and ``description_exclusion`` (NULL = no rule hit).
+
+    The rules read one upper-cased copy of the text. As a lambda argument it is made once per row,
+    also where the optimizer moves a filter on the label below other steps.
+    """
+    def label(upper: Column) -> Column:
+        recruiting = matches(upper, fixed.RECRUITING_TERMS)
+        return F.struct(
+            recruiting.alias("has_recruiting_terms"),
+            first_match(upper, fixed.DESCRIPTION_RULES, recruiting).alias("description_exclusion"))
+
+    labels = F.get(F.transform(F.array(F.upper(text)), label), F.lit(0))
+    labelled = rows.select("*", labels.alias("_labels"))
+    return labelled.select(*rows.columns, "_labels.*")
 
 
 def int_niche_filter(stg_awards: DataFrame) -> DataFrame:

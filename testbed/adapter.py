@@ -63,13 +63,21 @@ _ORDERS = f"""
               WHEN left(o_orderpriority, 1) = '4' THEN '561320' END AS naics_code,
          get({_array(PSC)}, int(o_orderkey % 7)) AS psc_code,
          get({_array(CONTRACT_TYPES)}, int(o_orderkey % 5)) AS contract_award_type
-  FROM {{orders}} LEFT JOIN {{customer}} ON c_custkey = o_custkey LEFT JOIN {{nation}} ON n_nationkey = c_nationkey
+         {{more}}
+  FROM {{of}} LEFT JOIN {{customer}} ON c_custkey = o_custkey LEFT JOIN {{nation}} ON n_nationkey = c_nationkey
 """
 _VENDORS = """
   SELECT s_suppkey, if(s_suppkey % 40 = 0, s_name || ' (Undisclosed)', s_name) AS vendor,
          'UEI' || lpad(string(s_suppkey), 9, '0') AS uei
   FROM {supplier}
 """
+_DAILY_ORDERS = """(
+  SELECT * FROM {orders}
+  LATERAL VIEW inline({days}) AS no, snapshot_date
+  LATERAL VIEW explode(if(o_orderkey % 101 = 0, array(0, 1), array(0))) AS old
+  WHERE o_orderkey % 97 <> 0 AND NOT (no = 1 AND o_orderkey % 53 = 0) AND NOT (no = 3 AND o_orderkey % 59 = 0)
+)"""
+_ANY_ORDERS = _ORDERS.replace("{of}", "{orders}").replace("{more}", "")
 _AWARD_ROWS = f"""
   SELECT *,
          CASE WHEN NOT (no = 2 AND k % 43 = 0)
@@ -77,11 +85,8 @@ _AWARD_ROWS = f"""
          CASE WHEN k % 223 <> 0
               THEN date_add(day, int(k * 37 % 1800 + if(no >= 2 AND k % 31 = 0, 365, 0)
                                      - if(no >= 2 AND k % 37 = 0, 10, 0))) END AS end_date
-  FROM ({_ORDERS})
+  FROM ({_ORDERS.replace("{of}", _DAILY_ORDERS).replace("{more}", ", no, snapshot_date, old")})
   LEFT JOIN ({_VENDORS}) ON s_suppkey = k % (SELECT count(*) FROM {{supplier}})
-  LATERAL VIEW inline({{days}}) AS no, snapshot_date
-  LATERAL VIEW explode(if(k % 101 = 0, array(0, 1), array(0))) AS old
-  WHERE k % 97 <> 0 AND NOT (no = 1 AND k % 53 = 0) AND NOT (no = 3 AND k % 59 = 0)
 """
 _AWARDS = f"""
   SELECT snapshot_date, 'ORD_' || k AS award_key, 'AW' || k AS award_id,
@@ -106,7 +111,7 @@ _TRANSACTIONS = f"""
          if(l_linenumber % 3 <> 0, ' LINE ' || l_linenumber || '\\n', NULL) AS transaction_description,
          vendor AS recipient_name, if(l_partkey % 50 = 0, ' ', uei) AS recipient_uei,
          awarding_agency, awarding_sub_agency, contract_award_type, naics_code, psc_code
-  FROM {{lineitem}} LEFT JOIN ({_ORDERS}) ON k = l_orderkey LEFT JOIN ({_VENDORS}) ON s_suppkey = l_suppkey
+  FROM {{lineitem}} LEFT JOIN ({_ANY_ORDERS}) ON k = l_orderkey LEFT JOIN ({_VENDORS}) ON s_suppkey = l_suppkey
   LATERAL VIEW inline({{days}}) AS no, snapshot_date
   WHERE date(l_shipdate) <= snapshot_date
 """
