@@ -4,7 +4,19 @@ from pyspark.sql import types as T
 
 from obligato import fixed_values as fixed
 
-RAW_AWARDS = T.StructType.fromDDL("""
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "date": T.DateType(), "bigint": T.LongType(),
+    "boolean": T.BooleanType(), "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _columns(names_and_types: str) -> T.StructType:
+    """Schema from "name type, ..." without needing a running session, as DDL parsing would."""
+    pairs = [column.split() for column in names_and_types.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+RAW_AWARDS = _columns("""
     snapshot_date date, award_key string, award_id string, recipient_name string, recipient_uei string,
     awarding_agency string, awarding_sub_agency string, award_amount double, total_outlays double,
     start_date date, end_date date, naics_code string, naics_description string, psc_code string,
@@ -12,21 +24,21 @@ RAW_AWARDS = T.StructType.fromDDL("""
     last_modified_date timestamp_ntz, base_obligation_date date
 """)
 
-RAW_TRANSACTIONS = T.StructType.fromDDL("""
+RAW_TRANSACTIONS = _columns("""
     snapshot_date date, award_key string, award_id string, modification_number string, action_date date,
     action_type string, obligation_amount double, transaction_description string, recipient_name string,
     recipient_uei string, awarding_agency string, awarding_sub_agency string, contract_award_type string,
     naics_code string, psc_code string
 """)
 
-RAW_AWARD_DETAILS = T.StructType.fromDDL("""
+RAW_AWARD_DETAILS = _columns("""
     snapshot_date date, award_key string, current_end_date date, potential_end_date date,
     obligated_amount double, base_exercised_options_value double, base_and_all_options_value double,
     type_set_aside string, type_set_aside_description string, extent_competed_description string,
     number_of_offers_received bigint, solicitation_identifier string
 """)
 
-SNAPSHOT_DAILY = T.StructType.fromDDL("""
+SNAPSHOT_DAILY = _columns("""
     snapshot_date date, award_key string, award_id string, awarding_agency string,
     awarding_sub_agency string, recipient_uei string, recipient_name string, subtype string,
     award_amount double, end_date date, status string, successor_award_key string, reconstructed boolean
