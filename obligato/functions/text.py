@@ -15,7 +15,14 @@ WHITESPACE = "".join(map(chr, [
 
 
 def trimmed(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Strips white space at both ends.
+
+    The exact strip indexes the whole text. Nearly every value begins and ends with a printable
+    ASCII character and has nothing to strip, which shows in its first and last byte.
+    """
+    last = F.substring(text.cast("binary"), -1, 1)
+    clean = (text >= "!") & (text < "\x7f") & (last >= F.lit(b"!")) & (last < F.lit(b"\x7f"))
+    return F.when(clean, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def blank_to_null(text: Column) -> Column:

@@ -20,9 +20,10 @@ def latest_snapshot(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
 def keep_latest(rows: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
     """One row per key: the first in the given order.
 
-    The remaining columns break ties, so the kept row does not depend on task order. Each
-    map task keeps one row per key before the shuffle, so a hot key does not reach one task whole.
+    The remaining columns break ties, so the kept row does not depend on task order. It also means
+    that several readers of the result shuffle the same columns and share one exchange. Each map
+    task keeps one row per key before the shuffle, so a hot key does not reach one task whole.
     """
-    ties = [c for c in rows.columns if c not in (*keys, "as_of_date")]
+    ties = [c for c in rows.columns if c not in keys]
     order = Window.partitionBy(*keys).orderBy(*newest_first, *ties)
     return rows.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")

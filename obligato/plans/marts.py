@@ -1,5 +1,7 @@
 """Marts: niche awards, the recompete list, contract actions, agencies and vendors."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from obligato import fixed_values as fixed
@@ -118,11 +120,14 @@ def dim_agencies(fact_awards: DataFrame, fct_obligations: DataFrame) -> DataFram
         status.alias("agency_status"))
 
 
-def dim_vendors(fact_awards: DataFrame, fct_obligations: DataFrame) -> DataFrame:
+def dim_vendors(fact_awards: DataFrame, fct_obligations: DataFrame,
+                keep: Callable[[DataFrame], DataFrame] = lambda vendors: vendors) -> DataFrame:
     """One row per vendor id with niche awards, shown under its newest award's name.
 
     Summed per vendor and sub-agency first, so a placeholder id shared by many awards is spread.
     ``share_24m`` is the share of the obligations of these vendors; a zero total gives NULL.
+    The vendors are read twice, for the total and for the shares: ``keep`` may store them in
+    between, so that the awards and actions are read once.
     """
     # Newest award date first, then the smallest award key; no date comes last.
     newest = F.struct(F.coalesce(-F.unix_date("award_date"), F.lit(2**31 - 1)), F.col("award_key"))
@@ -152,7 +157,7 @@ def dim_vendors(fact_awards: DataFrame, fct_obligations: DataFrame) -> DataFrame
         F.max("as_of").alias("as_of_date"),
     )
     spent = _niche_obligations_24m(fct_obligations, "recipient_uei")
-    valued = vendors.join(spent, "recipient_uei", "left").select(
-        *vendors.columns, _or_zero("obligations_24m").alias("obligations_24m"))
+    valued = keep(vendors.join(spent, "recipient_uei", "left").select(
+        *vendors.columns, _or_zero("obligations_24m").alias("obligations_24m")))
     total = valued.agg(exact_sum(F.col("obligations_24m"))).scalar()
     return valued.select("*", F.try_divide("obligations_24m", total).alias("share_24m"))

@@ -45,11 +45,12 @@ def int_niche_filter(stg_awards: DataFrame) -> DataFrame:
 def int_recompete_flags(int_niche_filter: DataFrame, stg_award_details: DataFrame) -> DataFrame:
     """Niche awards with expiry status (by end date only) and the option facts of the detail page.
 
-    Both sides hold one row per award and are hashed by it already, so the join adds no shuffle.
-    An award without an end date stays ``active``.
+    Both sides hold one row per award (and day, for all days at once) and are hashed by it
+    already, so the join adds no shuffle. An award without an end date stays ``active``.
     """
+    keys = [c for c in ("as_of_date", "award_key") if c in stg_award_details.columns]
     facts = stg_award_details.select(
-        "award_key", "potential_end_date", "base_and_all_options_value", "set_aside",
+        *keys, "potential_end_date", "base_and_all_options_value", "set_aside",
         "extent_competed", "number_of_offers_received", "solicitation_identifier",
     )
     end, as_of = F.col("end_date"), F.col("as_of_date")
@@ -61,7 +62,7 @@ def int_recompete_flags(int_niche_filter: DataFrame, stg_award_details: DataFram
         .when(end <= F.add_months(as_of, 12), this_year)
         .otherwise(active)
     )
-    return int_niche_filter.where("in_niche").join(facts, "award_key", "left").select(
+    return int_niche_filter.where("in_niche").join(facts, keys, "left").select(
         "*",
         F.coalesce(beyond, F.lit(False)).alias("has_options_remaining"),
         days_between(end, as_of).alias("days_to_expiry"),

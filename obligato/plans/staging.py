@@ -12,8 +12,16 @@ from obligato.operators.snapshots import keep_latest, latest_snapshot
 
 def stg_awards(raw_awards: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """One row per award. Quality flags are columns; they never drop a row."""
-    used = latest_snapshot(raw_awards, as_of).drop("total_outlays")
-    one_each = keep_latest(used, ["award_key"], [F.col("last_modified_date").desc_nulls_last()])
+    return _clean_awards(latest_snapshot(raw_awards, as_of), ["award_key"])
+
+
+def every_day_awards(raw_awards: DataFrame) -> DataFrame:
+    """``stg_awards`` of all snapshot days at once: one row per day and award."""
+    return _clean_awards(raw_awards.withColumnRenamed("snapshot_date", "as_of_date"), ["as_of_date", "award_key"])
+
+
+def _clean_awards(rows: DataFrame, keys: list[str]) -> DataFrame:
+    one_each = keep_latest(rows.drop("total_outlays"), keys, [F.col("last_modified_date").desc_nulls_last()])
     name = F.col("recipient_name")
     return one_each.select(
         "award_key", "award_id",
@@ -55,11 +63,20 @@ def stg_transactions(raw_transactions: DataFrame, as_of: dt.date | None = None)
 
 def stg_award_details(raw_award_details: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     """One row per still-running award, from its detail page."""
-    used = latest_snapshot(raw_award_details, as_of).drop("as_of_date")
-    one_each = keep_latest(used, ["award_key"], [F.col("potential_end_date").desc_nulls_last()])
+    return _clean_details(latest_snapshot(raw_award_details, as_of).drop("as_of_date"), ["award_key"])
+
+
+def every_day_details(raw_award_details: DataFrame) -> DataFrame:
+    """``stg_award_details`` of all snapshot days at once, with the day."""
+    return _clean_details(raw_award_details.withColumnRenamed("snapshot_date", "as_of_date"),
+                          ["as_of_date", "award_key"])
+
+
+def _clean_details(rows: DataFrame, keys: list[str]) -> DataFrame:
+    one_each = keep_latest(rows, keys, [F.col("potential_end_date").desc_nulls_last()])
     set_aside = blank_to_null(F.col("type_set_aside_description"))
     return one_each.select(
-        "award_key", "current_end_date", "potential_end_date", "obligated_amount",
+        *keys, "current_end_date", "potential_end_date", "obligated_amount",
         "base_exercised_options_value", "base_and_all_options_value",
         blank_to_null(F.col("type_set_aside")).alias("type_set_aside"),
         F.coalesce(set_aside, F.lit(fixed.SET_ASIDE_MISSING)).alias("set_aside"),

@@ -111,9 +111,9 @@ _TRANSACTIONS = f"""
          if(l_linenumber % 3 <> 0, ' LINE ' || l_linenumber || '\\n', NULL) AS transaction_description,
          vendor AS recipient_name, if(l_partkey % 50 = 0, ' ', uei) AS recipient_uei,
          awarding_agency, awarding_sub_agency, contract_award_type, naics_code, psc_code
-  FROM {{lineitem}} LEFT JOIN ({_ANY_ORDERS}) ON k = l_orderkey LEFT JOIN ({_VENDORS}) ON s_suppkey = l_suppkey
-  LATERAL VIEW inline({{days}}) AS no, snapshot_date
-  WHERE date(l_shipdate) <= snapshot_date
+  FROM (SELECT * FROM {{lineitem}} LATERAL VIEW inline({{days}}) AS no, snapshot_date
+        WHERE date(l_shipdate) <= snapshot_date)
+  LEFT JOIN ({_ANY_ORDERS}) ON k = l_orderkey LEFT JOIN ({_VENDORS}) ON s_suppkey = l_suppkey
 """
 _DETAILS = f"""
   SELECT snapshot_date, 'ORD_' || k AS award_key, end_date AS current_end_date,

@@ -20,13 +20,19 @@ TOP_N = 20
 
 
 class Models:
-    """The models over the adapter's raw tables, each derived on first use."""
+    """The models over the adapter's raw tables, each derived on first use.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, day=AS_OF):
-        self._raw = (spark, sf_dir, [day])
+    ``store`` names models that several others read: like the publish step, they are written
+    once and read back.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, day=AS_OF, store: tuple[str, ...] = ()):
+        self._raw, self._store = (spark, sf_dir, [day]), store
 
     def __getattr__(self, name: str) -> DataFrame:
         model = self._build(name)
+        if name in self._store:
+            model = stored(self._raw[0], model, name)
         setattr(self, name, model)
         return model
 
@@ -43,10 +49,15 @@ class Models:
             case "fact": return marts.fact_awards(self.flags)
             case "recompetes": return marts.recompetes(self.fact)
             case "obligations": return marts.fct_obligations(self.transactions, self.niche)
-            case "agencies": return marts.dim_agencies(self.fact, self.obligations)
-            case "vendors": return marts.dim_vendors(self.fact, self.obligations)
+            case "niche_obligations":
+                # The stored fact holds exactly the niche awards, so the labels need not be built again.
+                return marts.fct_obligations(self.transactions, self.fact.withColumn("in_niche", F.lit(True)))
+            case "agencies": return marts.dim_agencies(self.fact, self.niche_obligations)
+            case "vendors":
+                return marts.dim_vendors(self.fact, self.niche_obligations,
+                                         lambda rows: stored(self._raw[0], rows, "vendor_totals"))
             case "dash_recompetes": return views.vw_dash_recompetes(self.recompetes)
-            case "dash_market": return views.vw_dash_market(self.obligations, self.agencies)
+            case "dash_market": return views.vw_dash_market(self.niche_obligations, self.agencies)
             case "dash_wins": return views.vw_dash_wins(self.fact)
         raise AttributeError(name)
 
@@ -55,15 +66,19 @@ def stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     """Written once to the shared folder and read back, where a plan reads it several times."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     rows.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+# Models with several readers of the niche awards.
+_SHARED = {name: ("fact",) for name in ("agencies", "vendors", "dash_market")}
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: getattr(Models(spark, sf_dir), name)
+    return lambda spark, sf_dir: getattr(Models(spark, sf_dir, store=_SHARED.get(name, ())), name)
 
 
 def _report(name: str, report: Callable[..., DataFrame], *args) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: report(getattr(Models(spark, sf_dir), name), *args)
+    return lambda spark, sf_dir: report(_model(name)(spark, sf_dir), *args)
 
 
 def stg_awards_latest(spark, sf_dir):
@@ -141,8 +156,8 @@ def exact_dedupe(spark, sf_dir):
 
 
 def audit_results(spark, sf_dir):
-    m = Models(spark, sf_dir)
-    return audit.audit_results(m.fact, m.obligations, m.recompetes, m.awards)
+    m = Models(spark, sf_dir, store=("fact",))
+    return audit.audit_results(m.fact, m.niche_obligations, m.recompetes, m.awards)
 
 
 def reconcile_totals(spark, sf_dir):
@@ -156,8 +171,8 @@ def reconcile_totals(spark, sf_dir):
 
 
 def snapshot_history(spark, sf_dir):
-    """Three days of history, each built from that day's pull."""
-    return together([history.snapshot_daily(Models(spark, sf_dir, day).fact) for day in DAYS])
+    """Three days of history, rebuilt in one pass over the raw tables."""
+    return history.rebuild_history(adapter.raw_awards(spark, sf_dir, DAYS), adapter.raw_award_details(spark, sf_dir, DAYS))
 
 
 def award_events_query(spark, sf_dir):
@@ -165,7 +180,7 @@ def award_events_query(spark, sf_dir):
 
 
 def vendor_share_rank(spark, sf_dir):
-    vendors = stored(spark, Models(spark, sf_dir).vendors, "dim_vendors")
+    vendors = stored(spark, _model("vendors")(spark, sf_dir), "dim_vendors")
     return views.vw_dash_vendor_share(vendors)
 
 
@@ -174,7 +189,7 @@ def top5_share(spark, sf_dir):
 
 
 def top_vendors(spark, sf_dir):
-    return reports.top_vendors(stored(spark, Models(spark, sf_dir).vendors, "dim_vendors"), 15)
+    return reports.top_vendors(stored(spark, _model("vendors")(spark, sf_dir), "dim_vendors"), 15)
 
 
 def _as_landed(rows: DataFrame, fields: dict[str, str], spoil: dict) -> DataFrame:
