@@ -52,7 +52,9 @@ def recompetes(fact_awards: DataFrame) -> DataFrame:
 def fct_obligations(stg_transactions: DataFrame, int_niche_filter: DataFrame) -> DataFrame:
     """Every contract action with its award's niche label; an action without an award is not niche.
 
-    Only the keys of niche awards travel to the join; their absence means FALSE.
+    Only the keys of niche awards travel to the join; their absence means FALSE. Pass the labels as
+    a stored table: adaptive execution splits the actions of a hot award over several tasks when
+    both sides of the join come straight from their shuffle.
     """
     niche = int_niche_filter.where("in_niche").select("award_key", F.lit(True).alias("_niche"))
     labelled = stg_transactions.join(niche, "award_key", "left")

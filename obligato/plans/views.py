@@ -26,6 +26,10 @@ def vw_dash_recompetes(recompetes: DataFrame) -> DataFrame:
 
 
 def vw_dash_market(fct_obligations: DataFrame, dim_agencies: DataFrame) -> DataFrame:
+    """Niche actions with their sub-agency's status.
+
+    Reads the stored agencies, so that a sub-agency with a large part of all actions can be split.
+    """
     as_of = F.col("as_of_date")
     labels = dim_agencies.select("awarding_sub_agency", "agency_status")
     return fct_obligations.where("in_niche").join(labels, "awarding_sub_agency", "left").select(

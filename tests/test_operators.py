@@ -10,8 +10,9 @@ from obligato import fixed_values as fixed
 from obligato.functions.text import matches, trimmed
 from obligato.operators.ranking import nth_largest, with_rank_desc
 from obligato.operators.snapshots import keep_latest, latest_snapshot
+from obligato.plans import ingest, marts, staging, views
 from obligato.sources.raw_store import DayStore
-from obligato.sources.schemas import RAW_AWARDS
+from obligato.sources.schemas import RAW_AWARDS, RAW_TRANSACTIONS
 from tests.handmade import award, d
 
 
@@ -62,6 +63,73 @@ def test_patterns_agree_with_python(spark):
             assert r[f"p{i}"] == bool(re.search(python, r["t"], re.ASCII)), (r["t"], p)
 
 
+@pytest.fixture
+def eager_skew_handling(spark):
+    """Thresholds scaled down to the size of test data, and no broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(rows):
+    execution = rows._jdf.queryExecution()
+    rows._jdf.queryExecution().executedPlan().execute().count()
+    return execution.executedPlan().toString()
+
+
+def hot_third(spark, path):
+    """Actions of which a third belong to one award and a third to one sub-agency; several files."""
+    i = F.col("id")
+    rows = spark.range(0, 30000, 1, 12).select(
+        F.lit(d("2026-09-28")).alias("snapshot_date"),
+        F.when(i % 3 == 0, "HOT").otherwise(F.concat(F.lit("A"), (i % 500).cast("string"))).alias("award_key"),
+        i.cast("string").alias("modification_number"), F.lit(d("2026-01-01")).alias("action_date"),
+        F.lit(1.0).alias("obligation_amount"),
+        F.when(i % 3 == 1, "HOT SUB").otherwise(F.concat(F.lit("S"), (i % 300).cast("string"))).alias("awarding_sub_agency"),
+    )
+    for f in RAW_TRANSACTIONS.fields:
+        if f.name not in rows.columns:
+            rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_hot_award_and_sub_agency_are_split(spark, tmp_path, eager_skew_handling):
+    actions = staging.stg_transactions(hot_third(spark, str(tmp_path / "raw")))
+    keys = spark.createDataFrame([("HOT",)] + [(f"A{n}",) for n in range(250)], "award_key string")
+    keys.withColumn("in_niche", F.lit(True)).write.parquet(str(tmp_path / "niche"))
+    labelled = marts.fct_obligations(actions, spark.read.parquet(str(tmp_path / "niche")))
+    assert "skew=true" in final_plan(labelled)
+    assert labelled.where("award_key = 'HOT' and in_niche").count() == 10000
+
+    labelled.write.parquet(str(tmp_path / "actions"))
+    agencies = spark.createDataFrame([("HOT SUB", "active"), ("S1", "new")], "awarding_sub_agency string, agency_status string")
+    agencies.write.parquet(str(tmp_path / "agencies"))
+    market = views.vw_dash_market(*[spark.read.parquet(str(tmp_path / t)) for t in ("actions", "agencies")])
+    assert "skew=true" in final_plan(market)
+    assert market.where("agency_status = 'active'").count() == labelled.where(
+        "in_niche and awarding_sub_agency = 'HOT SUB'").count() > 0
+
+
+def test_hot_keys_are_counted_before_the_shuffle(spark, tmp_path):
+    actions = hot_third(spark, str(tmp_path / "raw"))
+    text = plan(ingest.gate_transactions(actions, actions))
+    # Every shuffle by a data key sits above a partial aggregate.
+    for exchange in re.finditer(r"Exchange hashpartitioning\(([^\n]*)\n([^\n]*)", text):
+        assert "HashAggregate" in exchange[2], exchange[0]
+
+
 def test_trim_keeps_inner_space_and_null(spark):
     rows = spark.createDataFrame([("　  A  B \t\r\n",), (None,), ("",)], "t string")
     assert [r[0] for r in rows.select(trimmed(F.col("t"))).collect()] == ["A  B", None, ""]
