@@ -55,38 +55,34 @@ def _array(values: list[str | None]) -> str:
     return "array(" + ", ".join("NULL" if v is None else repr(v) for v in values) + ")"
 
 
-_ORDERS = f"""
-  SELECT o_orderkey AS k, o_totalprice, o_orderdate, date(o_orderdate) AS day,
-         c_name AS awarding_sub_agency, n_name AS awarding_agency, c_mktsegment,
+_BUYERS = f"""
+  SELECT c_custkey, c_name AS awarding_sub_agency, n_name AS awarding_agency, c_mktsegment
+  FROM {{customer}} LEFT JOIN {{nation}} ON n_nationkey = c_nationkey
+"""
+_CODES = f"""
          CASE WHEN left(o_orderpriority, 1) IN ('1', '2') THEN '561312'
               WHEN left(o_orderpriority, 1) = '3' THEN '561311'
               WHEN left(o_orderpriority, 1) = '4' THEN '561320' END AS naics_code,
          get({_array(PSC)}, int(o_orderkey % 7)) AS psc_code,
          get({_array(CONTRACT_TYPES)}, int(o_orderkey % 5)) AS contract_award_type
-         {{more}}
-  FROM {{of}} LEFT JOIN {{customer}} ON c_custkey = o_custkey LEFT JOIN {{nation}} ON n_nationkey = c_nationkey
 """
 _VENDORS = """
   SELECT s_suppkey, if(s_suppkey % 40 = 0, s_name || ' (Undisclosed)', s_name) AS vendor,
          'UEI' || lpad(string(s_suppkey), 9, '0') AS uei
   FROM {supplier}
 """
-_DAILY_ORDERS = """(
-  SELECT * FROM {orders}
+_AWARD_ROWS = """
+  SELECT *, o_orderkey AS k, date(o_orderdate) AS day,
+         CASE WHEN NOT (no = 2 AND o_orderkey % 43 = 0)
+              THEN if(o_orderkey % 25 = 0, 0D, o_totalprice) + if(no >= 2 AND o_orderkey % 41 = 0, 1000D, 0D) + 7D * old
+         END AS award_amount,
+         CASE WHEN o_orderkey % 223 <> 0
+              THEN date_add(date(o_orderdate), int(o_orderkey * 37 % 1800 + if(no >= 2 AND o_orderkey % 31 = 0, 365, 0)
+                                                   - if(no >= 2 AND o_orderkey % 37 = 0, 10, 0))) END AS end_date
+  FROM {orders}
   LATERAL VIEW inline({days}) AS no, snapshot_date
   LATERAL VIEW explode(if(o_orderkey % 101 = 0, array(0, 1), array(0))) AS old
   WHERE o_orderkey % 97 <> 0 AND NOT (no = 1 AND o_orderkey % 53 = 0) AND NOT (no = 3 AND o_orderkey % 59 = 0)
-)"""
-_ANY_ORDERS = _ORDERS.replace("{of}", "{orders}").replace("{more}", "")
-_AWARD_ROWS = f"""
-  SELECT *,
-         CASE WHEN NOT (no = 2 AND k % 43 = 0)
-              THEN if(k % 25 = 0, 0D, o_totalprice) + if(no >= 2 AND k % 41 = 0, 1000D, 0D) + 7D * old END AS award_amount,
-         CASE WHEN k % 223 <> 0
-              THEN date_add(day, int(k * 37 % 1800 + if(no >= 2 AND k % 31 = 0, 365, 0)
-                                     - if(no >= 2 AND k % 37 = 0, 10, 0))) END AS end_date
-  FROM ({_ORDERS.replace("{of}", _DAILY_ORDERS).replace("{more}", ", no, snapshot_date, old")})
-  LEFT JOIN ({_VENDORS}) ON s_suppkey = k % (SELECT count(*) FROM {{supplier}})
 """
 _AWARDS = f"""
   SELECT snapshot_date, 'ORD_' || k AS award_key, 'AW' || k AS award_id,
@@ -100,7 +96,9 @@ _AWARDS = f"""
          get({_array(DESCRIPTIONS)}, int(k % 16)) AS description, contract_award_type,
          timestampadd(SECOND, int(k % 86400) - old * 2592000, o_orderdate) AS last_modified_date,
          if(k % 13 <> 0, day, NULL) AS base_obligation_date
-  FROM ({_AWARD_ROWS})
+  FROM (SELECT *, {_CODES} FROM ({_AWARD_ROWS}))
+  LEFT JOIN ({_BUYERS}) ON c_custkey = o_custkey
+  LEFT JOIN ({_VENDORS}) ON s_suppkey = k % (SELECT count(*) FROM {{supplier}})
 """
 _TRANSACTIONS = f"""
   SELECT snapshot_date, 'ORD_' || l_orderkey AS award_key, 'AW' || l_orderkey AS award_id,
@@ -113,7 +111,9 @@ _TRANSACTIONS = f"""
          awarding_agency, awarding_sub_agency, contract_award_type, naics_code, psc_code
   FROM (SELECT * FROM {{lineitem}} LATERAL VIEW inline({{days}}) AS no, snapshot_date
         WHERE date(l_shipdate) <= snapshot_date)
-  LEFT JOIN ({_ANY_ORDERS}) ON k = l_orderkey LEFT JOIN ({_VENDORS}) ON s_suppkey = l_suppkey
+  LEFT JOIN (SELECT o_orderkey, o_custkey, {_CODES} FROM {{orders}}) ON o_orderkey = l_orderkey
+  LEFT JOIN ({_BUYERS}) ON c_custkey = o_custkey
+  LEFT JOIN ({_VENDORS}) ON s_suppkey = l_suppkey
 """
 _DETAILS = f"""
   SELECT snapshot_date, 'ORD_' || k AS award_key, end_date AS current_end_date,
@@ -125,9 +125,9 @@ _DETAILS = f"""
          get(array('FULL AND OPEN', ' ', NULL), int(k % 3)) AS extent_competed_description,
          nullif(k % 9, 0L) AS number_of_offers_received,
          if(k % 5 = 0, '', 'SOL' || k) AS solicitation_identifier
-  FROM ({_AWARD_ROWS})
-  LATERAL VIEW explode(if(k % 103 = 0, array(0, 5), array(0))) AS earlier
-  WHERE old = 0 AND end_date >= snapshot_date AND k % 89 <> 0
+  FROM (SELECT * FROM ({_AWARD_ROWS}) LATERAL VIEW explode(if(k % 103 = 0, array(0, 5), array(0))) AS earlier
+        WHERE old = 0 AND end_date >= snapshot_date AND k % 89 <> 0)
+  LEFT JOIN {{customer}} ON c_custkey = o_custkey
 """
 
 
@@ -149,8 +149,8 @@ def raw_award_details(spark: SparkSession, sf_dir: str, days: list[dt.date] = [A
     return _run(spark, sf_dir, _DETAILS, days)
 
 
-def control_totals(spark: SparkSession, sf_dir: str, factor: float) -> DataFrame:
-    """An outside party's totals per agency, off by the given factor."""
+def control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An outside party's totals per agency."""
     cents = "CAST(sum(CAST(obligation_amount AS DECIMAL(18,2))) AS DOUBLE)"
-    return raw_transactions(spark, sf_dir).groupBy("awarding_agency").agg(F.expr(cents).alias("total")).selectExpr(
-        "awarding_agency AS agency", f"total * {factor}D AS amount")
+    return raw_transactions(spark, sf_dir).groupBy(F.col("awarding_agency").alias("agency")).agg(
+        F.expr(cents).alias("amount"))

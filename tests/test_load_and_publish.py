@@ -98,8 +98,9 @@ def test_transaction_gates(spark):
     rows = [action("A", "0", "2026-01-01", 1.0), action("A", "0", "2026-01-01", 2.0), action("A", None, "2026-01-01", 1.0),
             action("A", None, "2026-01-01", 1.0), action("LOST", "0", "2026-01-01", 1.0),
             action("LOST", "1", "2026-01-01", 1.0, action_date=None), action(None, "0", "2026-01-01", 1.0)]
-    checks = ingest.gate_transactions(spark.createDataFrame(rows, RAW_TRANSACTIONS), awards, expected=7)
-    assert found(checks) == {"transactions_duplicate_key": 2, "transactions_missing_action_date": 1,
+    pulled = spark.createDataFrame(rows, RAW_TRANSACTIONS)
+    checks = ingest.gate_transactions(pulled, expected=8).unionByName(ingest.gate_orphans(pulled, awards))
+    assert found(checks) == {"transactions_incomplete": 1, "transactions_duplicate_key": 2, "transactions_missing_action_date": 1,
                              "transactions_missing_award_key": 1, "transactions_without_award": 3}
 
 
@@ -107,7 +108,8 @@ def test_detail_gates(spark):
     _, _, details = frames(spark, details=[detail("A", "2027-01-01", "2027-01-01"), detail("A", "2027-01-01", "2027-01-01"),
                                            detail("B", "2027-01-01", "2027-01-01", potential_end_date=None)])
     running = spark.createDataFrame([award("A"), award("B"), award("C"), award("C")], RAW_AWARDS)
-    assert found(ingest.gate_details(details, running)) == {
+    checks = ingest.gate_details(details).unionByName(ingest.gate_coverage(running, details))
+    assert found(checks) == {
         "details_duplicate_key": 1, "details_missing_potential_end_date": 1, "running_without_details": 1}
 
 

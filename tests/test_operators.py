@@ -124,7 +124,7 @@ def test_hot_award_and_sub_agency_are_split(spark, tmp_path, eager_skew_handling
 
 def test_hot_keys_are_counted_before_the_shuffle(spark, tmp_path):
     actions = hot_third(spark, str(tmp_path / "raw"))
-    text = plan(ingest.gate_transactions(actions, actions))
+    text = plan(ingest.gate_transactions(actions).unionByName(ingest.gate_orphans(actions, actions)))
     # Every shuffle by a data key sits above a partial aggregate.
     for exchange in re.finditer(r"Exchange hashpartitioning\(([^\n]*)\n([^\n]*)", text):
         assert "HashAggregate" in exchange[2], exchange[0]
