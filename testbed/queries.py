@@ -48,7 +48,8 @@ class Models:
             case "flags": return niche.int_recompete_flags(self.niche, self.details)
             case "fact": return marts.fact_awards(self.flags)
             case "recompetes": return marts.recompetes(self.fact)
-            case "obligations": return marts.fct_obligations(self.transactions, self.niche)
+            case "niche_keys": return self.niche.where("in_niche").select("award_key", "in_niche")
+            case "obligations": return marts.fct_obligations(self.transactions, self.niche_keys)
             case "niche_obligations":
                 # The stored fact holds exactly the niche awards, so the labels need not be built again.
                 return marts.fct_obligations(self.transactions, self.fact.withColumn("in_niche", F.lit(True)))
@@ -71,7 +72,7 @@ def stored(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
 
 # Models that read stored ones: because these have several readers, or so that a join with a
 # skewed key takes both sides straight from a shuffle and can be split.
-_SHARED = {"obligations": ("niche",), "agencies": ("fact",), "vendors": ("fact",), "dash_market": ("fact", "agencies")}
+_SHARED = {"obligations": ("niche_keys",), "agencies": ("fact",), "vendors": ("fact",), "dash_market": ("fact", "agencies")}
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -192,8 +193,7 @@ def award_events_query(spark, sf_dir):
 
 
 def vendor_share_rank(spark, sf_dir):
-    vendors = stored(spark, _model("vendors")(spark, sf_dir), "dim_vendors")
-    return views.vw_dash_vendor_share(vendors)
+    return views.vw_dash_vendor_share(_model("vendors")(spark, sf_dir))
 
 
 def top5_share(spark, sf_dir):
@@ -201,7 +201,7 @@ def top5_share(spark, sf_dir):
 
 
 def top_vendors(spark, sf_dir):
-    return reports.top_vendors(stored(spark, _model("vendors")(spark, sf_dir), "dim_vendors"), 15)
+    return reports.top_vendors(_model("vendors")(spark, sf_dir), 15)
 
 
 def _as_landed(rows: DataFrame, fields: dict[str, str], spoil: dict) -> DataFrame:
