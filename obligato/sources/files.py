@@ -30,6 +30,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
 def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
     """Values of the ``column=value`` folders under ``root`` that hold at least one data file."""
     fs, p = _path(spark, root)

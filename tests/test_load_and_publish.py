@@ -138,7 +138,7 @@ def test_load_is_all_or_nothing_and_replaces_one_day(spark, tmp_path):
     assert {r["snapshot_date"]: r["count"] for r in store.read("raw_awards").groupBy("snapshot_date").count().collect()} == {
         DAY: 16, d("2026-09-29"): 16}
     assert store.read_latest("raw_awards", DAY).select("snapshot_date").distinct().first()[0] == DAY
-    assert store.read("raw_awards").columns[0] == "snapshot_date" or "snapshot_date" in store.read("raw_awards").columns
+    assert store.read("raw_awards").columns == store.read("raw_awards", [DAY]).columns == [f.name for f in RAW_AWARDS.fields]
     with pytest.raises(ingest.ValidationError, match="awards_incomplete"):
         ingest.load_day(store, d("2026-09-30"), *pull(spark, details=running), expected_awards=17, min_rows=1)
     assert store.days("raw_awards") == [DAY, d("2026-09-29")]
