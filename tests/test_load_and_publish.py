@@ -11,7 +11,7 @@ from obligato.plans import audit, history, ingest, publish, staging
 from obligato.sources import files, landed
 from obligato.sources.raw_store import DayStore
 from obligato.sources.schemas import RAW_AWARDS, RAW_TRANSACTIONS
-from tests.handmade import ACTIONS, AWARDS, DAY, DETAILS, action, award, d, detail, frames, vendor
+from tests.handmade import ACTIONS, AWARDS, DAY, DETAILS, action, award, d, detail, frames
 
 GOLDEN = [a for a in AWARDS if a[0] == DAY]
 
