@@ -24,6 +24,8 @@ SEQUENCE, END_ID = 2048, 1
 EXACT, STEP = 256, 4
 #: Column generation ends when the program is solved, or within this share of the least sequences that any packing needs.
 GAP = 0.001
+#: ... or after so many pivots that together improve it by less than a tenth of that share.
+PATIENCE = 50
 
 
 def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -79,7 +81,10 @@ def column_generation(lengths: np.ndarray, counts: np.ndarray, capacity: int) ->
     basis, amounts = first_basis(lengths, counts, capacity)
     inverse = np.linalg.inv(basis)
     least = counts @ lengths / capacity  # no solution uses fewer sequences than the ids fill
-    while amounts.sum() > least * (1 + GAP):
+    since, best = 0, amounts.sum()
+    # Every basis on the way is a solution, so a program that pivots without progress (many ties) may end early.
+    while amounts.sum() > least * (1 + GAP) and since < PATIENCE:
+        since, best = (0, amounts.sum()) if amounts.sum() < best * (1 - GAP / 10) else (since + 1, best)
         prices = inverse.sum(axis=0)
         value, pattern = knapsack(lengths, prices, capacity)
         if value <= 1 + 1e-6:  # no column improves the program: it is solved
