@@ -34,7 +34,7 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
 
 def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centroids.T + (centroids * centroids).sum(1), 0)
+    return np.maximum((x * x).sum(1)[:, None] - 2 * np.einsum("ik,jk->ij", x, centroids) + (centroids * centroids).sum(1), 0)
 
 
 def _codebook(x: np.ndarray, n: int) -> np.ndarray:
@@ -105,7 +105,7 @@ class MultiIndex:
         filled = np.cumsum(np.bincount(cell, minlength=self.n ** 2)[order], axis=1) / len(x)
         place = np.empty_like(order)
         np.put_along_axis(place, order, np.arange(self.n ** 2)[None, :], axis=1)
-        top = np.argsort(-(probes @ x.T), axis=1)[:, 1:TOP + 1]  # without the probe itself
+        top = np.argsort(-np.einsum("ik,jk->ij", probes, x), axis=1)[:, 1:TOP + 1]  # without the probe itself
         needed = np.take_along_axis(filled, np.take_along_axis(place, cell[top], axis=1), axis=1)
         return float(min(1.0, np.quantile(needed, TARGET)))
 
@@ -184,7 +184,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP
         norms = np.sqrt((v * v).sum(1))
         for query, x, js in zip(asked_here["query_id"], q, asked_here["js"]):
             chosen = np.concatenate([rows_of.get(int(cell), np.zeros(0, np.int64)) for cell in js])
-            scores = v[chosen] @ x / (norms[chosen] * np.sqrt(x @ x))
+            scores = np.einsum("ij,j->i", v[chosen], x) / (norms[chosen] * np.sqrt((x * x).sum()))
             # One entry may be the query's own; ties at the edge are all kept.
             edge = -np.partition(-scores, top)[top] if len(scores) > top + 1 else -np.inf
             for k in np.flatnonzero(scores >= edge):

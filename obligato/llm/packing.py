@@ -51,15 +51,15 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[fl
     return best[capacity], pattern
 
 
-def first_basis(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def first_basis(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A feasible basis near the optimum: patterns filled largest first, each used until it exhausts a class.
 
     A pattern holds the class that it exhausts and none exhausted before it, so the columns are
-    triangular up to order, and independent.
+    triangular up to order, and their inverse is built alongside.
     """
     m = len(lengths)
     left, alive = counts.astype(float), np.ones(m, bool)
-    basis, amounts = np.zeros((m, m)), np.zeros(m)
+    basis, inverse, amounts = np.zeros((m, m)), np.eye(m), np.zeros(m)
     for _ in range(m):
         pattern, room = np.zeros(m), capacity
         for i in np.flatnonzero(alive)[::-1].tolist():
@@ -73,14 +73,22 @@ def first_basis(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple
         basis[:, out], amounts[out] = pattern, ratios.min()
         left = np.maximum(left - amounts[out] * pattern, 0)
         left[out], alive[out] = 0, False
-    return basis, amounts
+        pivot(inverse, pattern, out)
+    return basis, inverse, amounts
+
+
+def pivot(inverse: np.ndarray, entering: np.ndarray, row: int) -> None:
+    """The inverse after a column enters at that row; ``entering`` is the column in terms of the old basis."""
+    inverse[row] /= entering[row]
+    others = np.where(np.arange(len(entering)) == row, 0, entering)
+    for i in np.flatnonzero(others):
+        inverse[i] -= others[i] * inverse[row]
 
 
 def column_generation(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (columns) and how often each is used, real-valued: a basic solution of the linear program."""
-    basis, amounts = first_basis(lengths, counts, capacity)
-    inverse = np.linalg.inv(basis)
-    least = counts @ lengths / capacity  # no solution uses fewer sequences than the ids fill
+    basis, inverse, amounts = first_basis(lengths, counts, capacity)
+    least = (counts * lengths).sum() / capacity  # no solution uses fewer sequences than the ids fill
     since, best = 0, amounts.sum()
     # Every basis on the way is a solution, so a program that pivots without progress (many ties) may end early.
     while amounts.sum() > least * (1 + GAP) and since < PATIENCE:
@@ -89,17 +97,14 @@ def column_generation(lengths: np.ndarray, counts: np.ndarray, capacity: int) ->
         value, pattern = knapsack(lengths, prices, capacity)
         if value <= 1 + 1e-6:  # no column improves the program: it is solved
             break
-        entering = inverse @ pattern
+        entering = np.einsum("ij,j->i", inverse, pattern.astype(float))  # no library threads on the driver
         ratios = np.where(entering > 1e-9, amounts / np.where(entering > 1e-9, entering, 1), np.inf)
         row = int(ratios.argmin())
         step = ratios[row]
         amounts = np.maximum(amounts - step * entering, 0)
         amounts[row] = step
         basis[:, row] = pattern
-        inverse[row] /= entering[row]
-        others = entering.copy()
-        others[row] = 0
-        inverse -= np.outer(others, inverse[row])
+        pivot(inverse, entering, row)
     return basis, amounts
 
 
@@ -123,7 +128,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int],
         use(pattern, min(int(amount), possible(pattern)))
     # Then one more of those patterns that were rounded down most and still fit what is left.
     for i in np.argsort(-(amounts - np.floor(amounts)), kind="stable"):
-        if columns[i].any() and columns[i] @ lengths > capacity * 0.98:
+        if columns[i].any() and (columns[i] * lengths).sum() > capacity * 0.98:
             use(columns[i], min(1, possible(columns[i])))
     while left.any():
         pattern, room = np.zeros(len(lengths), np.int64), capacity
