@@ -18,18 +18,19 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from obligato.llm.common import ids_and_texts, map_rows, sha256
+from obligato.llm.common import Remembered, ids_and_texts, map_rows, sha256
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 #: Distinct fragments remembered by a Python worker; the memory is emptied when it is full.
-REMEMBERED_FRAGMENTS = 300_000
+REMEMBERED_FRAGMENTS = 500_000
 
 # Last bytes of the white-space characters beyond ASCII, and the bytes before those.
 _WIDE_SPACE_ENDS = [0x85, 0xA0, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F]
 _WIDE_SPACE_STARTS = [0xC2, 0x9A, 0x80, 0x81]
+_WIDE_ENDS, _WIDE_STARTS = (np.isin(np.arange(256), x) for x in (_WIDE_SPACE_ENDS, _WIDE_SPACE_STARTS))
 # The bytes that byte-level vocabularies show as themselves; the others follow from code point 256 on.
 _SHOWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -57,7 +58,7 @@ class ByteBpe:
         for token, i in vocabulary.items():
             self.token_bytes[i] = added[i] if i in added else bytes(map(symbols.__getitem__, token))
         self._cut = self._certain_cuts()
-        self._ids: dict[bytes, bytes] = {}
+        self._remembered = Remembered(self._library, REMEMBERED_FRAGMENTS)
 
     def _certain_cuts(self) -> np.ndarray:
         """cut[a * 256 + b]: whether a text may be cut between the bytes a and b."""
@@ -75,21 +76,14 @@ class ByteBpe:
             return [data] if data else []
         b = np.frombuffer(data, np.uint8)
         at = np.flatnonzero(self._cut[b[:-1].astype(np.uint16) << 8 | b[1:]]) + 1
-        wide = np.isin(b[at - 1], _WIDE_SPACE_ENDS) & np.isin(b[at - 2], _WIDE_SPACE_STARTS) & (at > 1)
+        wide = _WIDE_ENDS[b[at - 1]] & _WIDE_STARTS[b[at - 2]] & (at > 1)
         at = at[~wide].tolist()
         return [data[i:j] for i, j in zip([0, *at], [*at, len(data)])]
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; a null text counts as empty."""
-        if len(self._ids) > REMEMBERED_FRAGMENTS:
-            self._ids.clear()
-        known, cut = self._ids, [self.fragments((t or "").encode()) for t in texts]
-        new = list({f for fragments in cut for f in fragments if f not in known})
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            for f, e in zip(part, self._library.encode_batch([f.decode() for f in part], add_special_tokens=False)):
-                known[f] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, fragments)) for fragments in cut]
+        found = self._remembered.ids(self.fragments((t or "").encode()) for t in texts)
+        return [ids.astype("<u4", copy=False).tobytes() for ids in found]
 
     def decode(self, ids: bytes) -> str:
         tokens = self.token_bytes

@@ -1,8 +1,11 @@
 """Helpers shared by the text operators: batch maps, hot-group salts, shared storage."""
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import chain, count, islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -98,3 +101,80 @@ def shared_folder(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def encoded_apart(library, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The units' ids in a row, and how many each has, as if each were encoded alone.
+
+    The library cuts a text at its special tokens before anything else, so many units are given as one
+    text with a special token between them, which is much faster. Units that hold such a token go alone.
+    """
+    special = {t.content.encode(): i for i, t in library.get_added_tokens_decoder().items() if t.special}
+    if not special:
+        ids = [e.ids for e in library.encode_batch_fast([u.decode() for u in units], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+    mark, mark_id = next(iter(special.items()))
+    alone = {n for n, u in enumerate(units) if b"<" in u and any(s in u for s in special)}
+    texts, at = [], 0
+    for n in [*sorted(alone), len(units)]:
+        for i in range(at, n, 512):
+            texts.append(mark + mark.join(units[i:min(i + 512, n)]))
+        if n < len(units):
+            texts.append(units[n])
+        at = n + 1
+    ids = [np.array(e.ids, np.uint32) for e in library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+    flat, lengths, n = [], [], 0
+    for x in ids:
+        if n in alone:
+            flat.append(x)
+            lengths.append(np.array([len(x)]))
+            n += 1
+        else:
+            starts = np.flatnonzero(x == mark_id)
+            flat.append(np.delete(x, starts))
+            lengths.append(np.diff(np.append(starts, len(x))) - 1)
+            n += len(starts)
+    return np.concatenate(flat), np.concatenate(lengths)
+
+
+class Remembered:
+    """Ids of text units, worked out once per distinct unit and joined per text.
+
+    ``library`` is a tokenizer of the tokenizers library. The memory of a Python worker is bounded: it is
+    emptied when it holds more than ``limit`` units.
+    """
+
+    def __init__(self, library, limit: int):
+        self._library, self._limit = library, limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self._number: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self._flat, self._starts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+
+    def _add(self, units: list[bytes], known: int) -> None:
+        flat, lengths = encoded_apart(self._library, units)
+        ends = self._starts[known] + np.cumsum(lengths)
+        size = known + len(units)
+        if size >= len(self._starts):
+            self._starts = np.resize(self._starts, 2 * size)
+        if ends[-1] > len(self._flat):
+            self._flat = np.resize(self._flat, 2 * int(ends[-1]))
+        self._flat[self._starts[known]:ends[-1]] = flat
+        self._starts[known + 1:size + 1] = ends
+
+    def ids(self, texts: Iterator[list[bytes]]) -> list[np.ndarray]:
+        """For each text's units, their ids in a row."""
+        if len(self._number) > self._limit:
+            self._clear()
+        known = len(self._number)
+        numbers = [np.fromiter(map(self._number.__getitem__, units), np.int64, len(units)) for units in texts]
+        if new := len(self._number) - known:
+            self._add(list(islice(reversed(self._number), new))[::-1], known)
+        all_ = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+        starts = self._starts[all_]
+        lengths = self._starts[all_ + 1] - starts
+        after = np.cumsum(lengths)
+        joined = self._flat[np.repeat(starts - after + lengths, lengths) + np.arange(after[-1] if len(after) else 0)]
+        bounds = np.concatenate(([0], after))[np.cumsum([0, *map(len, numbers)])]
+        return [joined[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]

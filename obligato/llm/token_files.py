@@ -14,6 +14,7 @@ by its offsets, without decompressing its neighbours.
 import functools
 import hashlib
 import os
+import re
 import zlib
 
 import numpy as np
@@ -23,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from obligato.llm.common import arrow_schema, ddl, ids_and_texts, map_rows, slices
+from obligato.llm.common import Remembered, arrow_schema, ddl, ids_and_texts, map_rows, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -31,14 +32,15 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 8192, 65536
 BLOCK_DOCUMENTS, BLOCK_BYTES = 1000, 1 << 20
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 500_000
+_MARK_AFTER_LETTER = re.compile(rb"([a-z])([.,;:!?])(?=\s|\Z)")
 
 _BLOCKS = {"dict_hash": "string", "shard": "int", "block": "int", "first_doc": "long", "last_doc": "long",
            "doc_ids": "array<long>", "n_tokens": "array<long>", "offsets": "array<long>", "payload": "binary"}
 
 
 class WordBpe:
-    """A vocabulary that drops white space: words are encoded once each and their ids joined."""
+    """A vocabulary that drops white space and case: words are encoded once each and their ids joined."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -47,21 +49,25 @@ class WordBpe:
         self._library.no_truncation()
         self._library.no_padding()
         self.id_bytes = 2 if self._library.get_vocab_size() <= 1 << 16 else 4
-        self._ids: dict[bytes, bytes] = {}
+        self._remembered = Remembered(self._library, REMEMBERED_WORDS)
 
     def encode_many(self, texts: list[str | None], end: int) -> list[bytes]:
         """Each text's ids and the end id, as little-endian unsigned integers of ``id_bytes``; null counts as empty."""
-        if len(self._ids) > REMEMBERED_WORDS:
-            self._ids.clear()
-        known, kind = self._ids, f"<u{self.id_bytes}"
-        words = [(t or "").encode().split() for t in texts]
-        new = list({w for ws in words for w in ws if w not in known})
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            for w, e in zip(part, self._library.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, kind).tobytes()
+        kind, found = f"<u{self.id_bytes}", self._remembered.ids(map(_words, texts))
         last = np.array([end], kind).tobytes()
-        return [b"".join(map(known.__getitem__, ws)) + last for ws in words]
+        return [ids.astype(kind).tobytes() + last for ids in found]
+
+
+def _words(text: str | None) -> list[bytes]:
+    """The text's words; in plain texts without their case and with the mark after a word as a word, so that fewer differ.
+
+    Neither changes the ids, as the vocabulary knows no case and a mark after a letter is a token of its own. Texts
+    with a bracket (special tokens know their case) or a combining mark (which may join a letter) stay as they are.
+    """
+    data = (text or "").encode()
+    if not (b"<" in data or b"\xcc" in data or b"\xcd" in data):
+        data = _MARK_AFTER_LETTER.sub(rb"\1 \2", data.lower())
+    return data.split()
 
 
 @functools.cache
