@@ -18,7 +18,7 @@ import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame
 
-from obligato.llm.common import Remembered, ids_and_texts, map_rows, sha256
+from obligato.llm.common import Remembered, encoded_apart, ids_and_texts, map_rows, sha256
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -58,7 +58,7 @@ class ByteBpe:
         for token, i in vocabulary.items():
             self.token_bytes[i] = added[i] if i in added else bytes(map(symbols.__getitem__, token))
         self._cut = self._certain_cuts()
-        self._remembered = Remembered(self._library, REMEMBERED_FRAGMENTS)
+        self._remembered = Remembered(lambda fragments: encoded_apart(self._library, fragments), REMEMBERED_FRAGMENTS)
 
     def _certain_cuts(self) -> np.ndarray:
         """cut[a * 256 + b]: whether a text may be cut between the bytes a and b."""

@@ -140,12 +140,12 @@ def encoded_apart(library, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Remembered:
     """Ids of text units, worked out once per distinct unit and joined per text.
 
-    ``library`` is a tokenizer of the tokenizers library. The memory of a Python worker is bounded: it is
+    ``encode`` gives new units' ids in a row and how many each has. The memory of a Python worker is bounded: it is
     emptied when it holds more than ``limit`` units.
     """
 
-    def __init__(self, library, limit: int):
-        self._library, self._limit = library, limit
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int):
+        self._encode, self._limit = encode, limit
         self._clear()
 
     def _clear(self) -> None:
@@ -153,7 +153,7 @@ class Remembered:
         self._flat, self._starts = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
 
     def _add(self, units: list[bytes], known: int) -> None:
-        flat, lengths = encoded_apart(self._library, units)
+        flat, lengths = self._encode(units)
         ends = self._starts[known] + np.cumsum(lengths)
         size = known + len(units)
         if size >= len(self._starts):

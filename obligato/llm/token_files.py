@@ -14,7 +14,6 @@ by its offsets, without decompressing its neighbours.
 import functools
 import hashlib
 import os
-import re
 import zlib
 
 import numpy as np
@@ -24,7 +23,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from obligato.llm.common import Remembered, arrow_schema, ddl, ids_and_texts, map_rows, slices
+from obligato.llm.common import Remembered, arrow_schema, encoded_apart, ddl, ids_and_texts, map_rows, slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -33,7 +32,7 @@ END_ID = 1
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 8192, 65536
 BLOCK_DOCUMENTS, BLOCK_BYTES = 1000, 1 << 20
 REMEMBERED_WORDS = 500_000
-_MARK_AFTER_LETTER = re.compile(rb"([a-z])([.,;:!?])(?=\s|\Z)")
+_LETTER, _MARK, _SPACE = (np.isin(np.arange(256), list(x)) for x in (b"abcdefghijklmnopqrstuvwxyz", b".,;:!?", b" \t\n\x0b\x0c\r"))
 
 _BLOCKS = {"dict_hash": "string", "shard": "int", "block": "int", "first_doc": "long", "last_doc": "long",
            "doc_ids": "array<long>", "n_tokens": "array<long>", "offsets": "array<long>", "payload": "binary"}
@@ -48,8 +47,10 @@ class WordBpe:
         self._library = Tokenizer.from_file(path)
         self._library.no_truncation()
         self._library.no_padding()
+        self._plain = Tokenizer.from_file(path)
+        self._plain.normalizer = None
         self.id_bytes = 2 if self._library.get_vocab_size() <= 1 << 16 else 4
-        self._remembered = Remembered(self._library, REMEMBERED_WORDS)
+        self._remembered = Remembered(self._encode_words, REMEMBERED_WORDS)
 
     def encode_many(self, texts: list[str | None], end: int) -> list[bytes]:
         """Each text's ids and the end id, as little-endian unsigned integers of ``id_bytes``; null counts as empty."""
@@ -58,6 +59,20 @@ class WordBpe:
         return [ids.astype(kind).tobytes() + last for ids in found]
 
 
+    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of small ASCII letters need no normalizing."""
+        plain = np.array([w.isascii() and w.islower() for w in words], bool)
+        flat, lengths = np.zeros(0, np.uint32), np.zeros(len(words), np.int64)
+        starts = np.zeros(len(words), np.int64)
+        for library, chosen in ((self._plain, np.flatnonzero(plain)), (self._library, np.flatnonzero(~plain))):
+            if len(chosen):
+                ids, lengths[chosen] = encoded_apart(library, [words[i] for i in chosen.tolist()])
+                starts[chosen] = len(flat) + np.cumsum(lengths[chosen]) - lengths[chosen]
+                flat = np.concatenate((flat, ids))
+        after = np.cumsum(lengths)
+        return flat[np.repeat(starts - after + lengths, lengths) + np.arange(after[-1])], lengths
+
+
 def _words(text: str | None) -> list[bytes]:
     """The text's words; in plain texts without their case and with the mark after a word as a word, so that fewer differ.
 
@@ -66,7 +81,9 @@ def _words(text: str | None) -> list[bytes]:
     """
     data = (text or "").encode()
     if not (b"<" in data or b"\xcc" in data or b"\xcd" in data):
-        data = _MARK_AFTER_LETTER.sub(rb"\1 \2", data.lower())
+        b = np.frombuffer(data.lower() + b" ", np.uint8)
+        marks = np.flatnonzero(_LETTER[b[:-2]] & _MARK[b[1:-1]] & _SPACE[b[2:]]) + 1
+        data = np.insert(b, marks, ord(" ")).tobytes()
     return data.split()
 
 
@@ -80,7 +97,12 @@ def _hash(dictionary: bytes) -> str:
 
 
 def _codec(kind, dictionary: bytes, **options):
-    return kind(dict_data=zstandard.ZstdCompressionDict(dictionary), **options) if dictionary else kind(**options)
+    if not dictionary:
+        return kind(**options)
+    shared = zstandard.ZstdCompressionDict(dictionary)
+    if "level" in options:
+        shared.precompute_compress(**options)  # else each frame would digest the dictionary again
+    return kind(dict_data=shared, **options)
 
 
 def train_dictionary(docs: DataFrame, path: str, end: int) -> bytes:
