@@ -21,10 +21,8 @@ from obligato.llm.common import ids_and_texts, map_rows
 
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
-REMEMBERED_UNITS = 250_000
+REMEMBERED_UNITS = 500_000
 REMEMBERED_PAIRS = 1_000_000
-#: Units beyond this length are not remembered, so that one odd text cannot fill the memory.
-REMEMBERED_LENGTH = 64
 
 _BLANK = "▁"  # a fixed value of the vocabulary: how pieces show a blank
 
@@ -67,58 +65,68 @@ class PrefixCounter:
         self._pairs += 1
         return agrees
 
-    def _unit(self, unit: str) -> bytes:
-        """For each character of the unit, by how much the count changes when the prefix grows by it (int8)."""
-        n, score, longest, valid = len(unit), self._score, self._longest, self._valid
-        last, count, after = [""] * (n + 1), [0] * (n + 1), [valid.setdefault("", {})] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                token = unit[start:end]
-                if token in score:
-                    agrees = after[start].get(token)
-                    if agrees or agrees is None and self._follows(last[start], token):
-                        count[end] = count[start] + 1
-                        break
-            else:  # a character without a piece merges with nothing and is written as its UTF-8 bytes
-                token = unit[end - 1]
-                count[end] = count[end - 1] + len(token.encode())
-            last[end], after[end] = token, valid.setdefault(token, {})
-        return bytes([(b - a) % 256 for a, b in zip(count, count[1:])])
-
-    def steps(self, text: str | None) -> bytes:
-        """Per code point of the text, the change of the token count (int8); their running sum is the count at each prefix."""
-        if not text:
-            return b""
+    def _learn(self, keys: list[str]) -> None:
+        """For each unit, by how much the count changes when the prefix grows by each of its characters (int8).
+
+        Units are taken in order, so that one starts from what it has in common with the one before it.
+        """
+        score, longest, valid = self._score, self._longest, self._valid
+        size = max(map(len, keys), default=0) + 2
+        before, last, count, after = "", [""] * size, [0] * size, [valid.setdefault("", {})] * size
+        for unit, key in sorted((key if key[:1] == _BLANK else _BLANK + key, key) for key in keys):
+            same, most = 0, min(len(before), len(unit))
+            while same < most and before[same] == unit[same]:
+                same += 1
+            for end in range(same + 1, len(unit) + 1):
+                for start in range(end - longest if end > longest else 0, end):
+                    token = unit[start:end]
+                    if token in score:
+                        agrees = after[start].get(token)
+                        if agrees or agrees is None and self._follows(last[start], token):
+                            count[end] = count[start] + 1
+                            break
+                else:  # a character without a piece merges with nothing and is written as its UTF-8 bytes
+                    token = unit[end - 1]
+                    count[end] = count[end - 1] + len(token.encode())
+                last[end] = token
+                after[end] = valid.get(token) or valid.setdefault(token, {})
+            before = unit
+            self._units[key] = bytes([(b - a) % 256 for a, b in zip(count, count[1:len(unit) + 1])])
+
+    def steps_many(self, texts: list[str | None]) -> list[bytes]:
+        """Per code point of each text, the change of the token count (int8); their running sum is the count at each prefix."""
         if len(self._units) > REMEMBERED_UNITS:
             self._units.clear()
         if self._pairs > REMEMBERED_PAIRS:
             self._valid, self._pairs = {}, 0
-        known, out = self._units, []
-        # A blank starts a unit if it follows another character; the library puts one more blank before the text.
-        for word in _units_of(_BLANK + text.replace(" ", _BLANK)):
-            steps = known.get(word)
-            if steps is None:
-                steps = self._unit(word)
-                if len(word) <= REMEMBERED_LENGTH:
-                    known[word] = steps
-            out.append(steps)
-        joined = b"".join(out)
-        # The added blank is no prefix of its own: its count belongs to the first code point.
-        first = (joined[0] + 128) % 256 - 128 + (joined[1] + 128) % 256 - 128
-        return bytes([first % 256]) + joined[2:]
-
-
-def _units_of(text: str) -> list[str]:
-    parts = text.split(_BLANK)
+        cut = [_keys_of(t) for t in texts]
+        self._learn(list(set().union(*cut) - self._units.keys()))
+        out = []
+        for keys in cut:
+            joined = b"".join(map(self._units.__getitem__, keys))
+            if joined:
+                # The library puts one blank before the text. It is no prefix of its own: its count belongs to the first code point.
+                joined = bytes([(joined[0] + joined[1]) % 256]) + joined[2:]
+            out.append(joined)
+        return out
+
+    def steps(self, text: str | None) -> bytes:
+        return self.steps_many([text])[0]
+
+
+def _keys_of(text: str | None) -> list[str]:
+    """The text's units: a blank starts one if it follows another character. Units with a single blank go by their word alone."""
+    if not text:
+        return []
+    if "  " not in text and _BLANK not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
     out, run = [], 0
-    for part in parts[1:]:  # the text starts with a blank
+    for part in (_BLANK + text.replace(" ", _BLANK)).split(_BLANK)[1:]:
         run += 1
         if part:
             out.append(_BLANK * run + part)
             run = 0
-    if run:
-        out.append(_BLANK * run)
-    return out
+    return [*out, _BLANK * run] if run else out
 
 
 @functools.cache
@@ -168,7 +176,7 @@ def _per_text(docs: DataFrame, path: str | None, schema: dict[str, str], answers
         counter = prefix_counter(path)
 
         def work(rows):
-            found = [answers(counter.steps(t)) for t in rows["text"]]
+            found = list(map(answers, counter.steps_many(rows["text"])))
             columns = dict(zip(schema, map(list, zip(*found)))) if found else {name: [] for name in schema}
             return {"doc_id": rows["doc_id"], "n_bytes": [len((t or "").encode()) for t in rows["text"]], **columns}
 
