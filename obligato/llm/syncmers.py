@@ -128,7 +128,7 @@ def in_descending_parts(docs: DataFrame, parts: int) -> DataFrame:
     """
     ids = docs.select("doc_id").where("doc_id IS NOT NULL")
     cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
-    splits = [-float("inf"), *sorted(set(map(float, cuts or []))), float("inf")]
+    splits = [-float("inf"), *sorted(set(map(float, cuts or [0]))), float("inf")]
     # Cuts are compared as doubles: for very large ids less exact, but still in order.
     part = lambda rows: Bucketizer(splits=splits, inputCol="_x", outputCol="_bucket", handleInvalid="keep").transform(
         rows.withColumn("_x", F.col("doc_id").cast("double"))).withColumn(

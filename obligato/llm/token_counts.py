@@ -21,7 +21,7 @@ from obligato.llm.common import ids_and_texts, map_rows
 
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
-REMEMBERED_UNITS = 500_000
+REMEMBERED_UNITS = 1_000_000
 REMEMBERED_PAIRS = 1_000_000
 
 _BLANK = "▁"  # a fixed value of the vocabulary: how pieces show a blank

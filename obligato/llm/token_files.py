@@ -218,6 +218,6 @@ class TokenFiles:
         """doc_id, ids of a few documents: other blocks are pruned by their id range, other frames are not decompressed."""
         near = F.lit(False)
         for i in doc_ids:
-            near = near | F.lit(i).between(F.col("first_doc"), F.col("last_doc"))
+            near = near | (F.col("last_doc") >= i) & (F.col("first_doc").isNull() | (F.col("first_doc") <= i))  # null ids come first
         schema = {"doc_id": "long", "ids": "array<long>"}
         return self._each(self.blocks.where(near), schema, lambda i, shard, block, at, ids: (i, ids.tolist()), frozenset(doc_ids))

@@ -1,0 +1,39 @@
+"""The pipeline's stages and its whole run, with every odd case."""
+
+from collections import Counter
+
+import corpus_pipeline
+from tests.llm.test_operators import ODD, SF, KEY, base_spans, brute_lines, pairs  # noqa: F401
+
+
+def test_stages_keep_the_columns_and_the_clean_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame([(i and i + 100_000, t, "en", "s", 0) for i, t in ODD], docs.schema)
+    rows = docs.union(odd)
+    identified = corpus_pipeline.language_id(spark, rows, SF).cache()
+    gone = Counter(pairs(rows)) - Counter(pairs(identified))
+    assert not any(any(map(str.isalpha, t)) for _, t in gone)
+    lined = corpus_pipeline.line_dedup_stage(spark, identified, SF).cache()
+    assert Counter(pairs(lined)) == Counter((i, t) for i, _, _, t in brute_lines(pairs(identified)))
+    single = corpus_pipeline.simhash_near_dedup(spark, lined, SF).cache()
+    assert {r.doc_id for r in single.collect()} <= {r.doc_id for r in lined.collect()} and 0 < single.count() < lined.count()
+    clean = corpus_pipeline.secret_scan(spark, single, SF)
+    for rows in (identified, lined, single, clean):
+        assert rows.schema.simpleString() == docs.schema.simpleString()
+    texts = dict(pairs(clean))
+    assert not any(base_spans(t) for t in texts.values())
+    assert all(texts[i] == t for i, t in pairs(single) if not base_spans(t) and "[SECRET]" not in texts[i])
+    assert corpus_pipeline.pack(spark, clean, SF).count() >= clean.count()
+
+
+def test_empty_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+    assert corpus_pipeline.pack(spark, docs, SF).count() == 0
+
+
+def test_whole_run(spark):
+    rows = corpus_pipeline.run(spark, SF)
+    sequences = rows.groupBy("sequence_id").sum("length").collect()
+    assert sequences and max(r[1] for r in sequences) <= 2048
