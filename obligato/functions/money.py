@@ -1,18 +1,27 @@
 """Money expressions.
 
 Amounts are stored as doubles. A double sum depends on the order in which tasks finish, so
-every sum runs on exact cents and only the finished total becomes a double again.
+every sum runs on exact decimals (no fraction of a cent is cut) and only the finished total becomes a
+double again. Loads refuse amounts that do not fit, so no sum of loaded data can fail.
 """
 
 from pyspark.sql import Column, functions as F
 
 
-def cents(amount: Column) -> Column:
-    return amount.cast("decimal(18,2)")
+MAX_AMOUNT = 1e20
+
+
+def exact(amount: Column) -> Column:
+    return amount.cast("decimal(28,6)")
+
+
+def unfit(amount: Column) -> Column:
+    """Amounts that no exact sum can hold: not a number, infinite or beyond any budget."""
+    return F.isnan(amount) | (F.abs(amount) >= MAX_AMOUNT)
 
 
 def exact_sum(amount: Column) -> Column:
-    return F.sum(cents(amount)).cast("double")
+    return F.sum(exact(amount)).cast("double")
 
 
 def amount_text(amount: Column) -> Column:

@@ -41,6 +41,33 @@ def _java(pattern: str) -> str:
     return "(?d)" + pattern.replace(r"\s", r"[\t\n\f\r ]").replace("$", r"\z")
 
 
+def _alternatives(pattern: str) -> list[str]:
+    """The alternatives at the top level; what the translation does not cover is refused, not matched wrongly."""
+    parts, depth, start, i, in_class = [], 0, 0, 0, False
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+        elif in_class:
+            in_class = c != "]"
+        elif c == "[":
+            in_class = True
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "|" and depth:
+            raise ValueError(f"alternatives inside a group are not supported: {pattern}")
+        elif c == "|":
+            parts.append(pattern[start:i])
+            start = i + 1
+        i += 1
+    parts.append(pattern[start:])
+    for part in parts:
+        inside = re.sub(r"^\\b|\\b$", "", part)
+        if re.search(r"\\[bBpPQEAzZ$]|\$.|\[[^\]]*(\$|\\s)|\(\?", inside):
+            raise ValueError(f"not supported in word patterns: {part}")
+    return parts
+
+
 def _opening_word(alternative: str) -> str:
     """The plain text every match of the alternative begins with."""
     word = re.match(r"(?:\\b)?([0-9A-Za-z ]*)", alternative)
@@ -61,4 +88,4 @@ def matches(text: Column, pattern: str) -> Column:
         full = text.rlike(_java(alternative))
         return F.contains(text, F.lit(word)) & full if word else full
 
-    return reduce(or_, map(occurs, pattern.split("|")))
+    return reduce(or_, map(occurs, _alternatives(pattern)))

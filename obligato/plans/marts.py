@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from obligato import fixed_values as fixed
 from obligato.functions.dates import fiscal_year, in_last_months
-from obligato.functions.money import cents, exact_sum
+from obligato.functions.money import exact, exact_sum
 
 
 def fact_awards(int_recompete_flags: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def dim_agencies(fact_awards: DataFrame, fct_obligations: DataFrame) -> DataFram
     far smaller per-vendor rows.
     """
     active = F.col("is_active")
-    amount = cents(F.col("award_amount"))
+    amount = exact(F.col("award_amount"))
     per_vendor = fact_awards.groupBy(
         "awarding_sub_agency", "awarding_agency", "recipient_uei", "recipient_name").agg(
         F.count("*").alias("awards"),
@@ -140,7 +140,7 @@ def dim_vendors(fact_awards: DataFrame, fct_obligations: DataFrame,
         F.count("*").alias("awards"),
         F.count_if("is_active").alias("active"),
         F.count_if("in_recompete_window").alias("ending"),
-        F.sum(cents(F.col("award_amount"))).alias("amount"),
+        F.sum(exact(F.col("award_amount"))).alias("amount"),
         F.min("award_date").alias("first"),
         F.max("award_date").alias("last"),
         F.max("as_of_date").alias("as_of"),

@@ -3,12 +3,12 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from obligato import fixed_values as fixed
-from obligato.functions.money import cents, exact_sum
+from obligato.functions.money import exact, exact_sum
 from obligato.operators.ranking import nth_largest
 
 
 def _dollars(condition, amount: str):
-    return F.coalesce(F.sum(F.when(condition, cents(F.col(amount)))).cast("double"), F.lit(0.0))
+    return F.coalesce(F.sum(F.when(condition, exact(F.col(amount)))).cast("double"), F.lit(0.0))
 
 
 def window_kpis(dash_recompetes: DataFrame) -> DataFrame:
@@ -54,10 +54,15 @@ def obligations_by_fy(dash_market: DataFrame) -> DataFrame:
 
 
 def department_by_fy(dash_market: DataFrame, years: list[int]) -> DataFrame:
-    """Department x fiscal year. The years are given, so no job runs to find them."""
-    pivot = (dash_market.groupBy("awarding_department").pivot("fiscal_year", years)
-             .agg(exact_sum(F.col("obligated_amount"))))
-    return pivot.select("awarding_department", *[F.col(f"`{y}`").alias(f"fy{y}") for y in years])
+    """Department x fiscal year, the other years together and the total, so that no amount is left out.
+
+    The years shown are given, so no job runs to find them.
+    """
+    year, amount = F.col("fiscal_year"), F.col("obligated_amount")
+    other = ~F.coalesce(year.isin(years), F.lit(False))
+    return dash_market.groupBy("awarding_department").agg(
+        *[exact_sum(F.when(year == y, amount)).alias(f"fy{y}") for y in years],
+        exact_sum(F.when(other, amount)).alias("other_years"), exact_sum(amount).alias("all_years"))
 
 
 def department_drill(dash_market: DataFrame) -> DataFrame:

@@ -1,7 +1,5 @@
 """Small helpers on the cluster's file system (any Hadoop-supported store)."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -13,16 +11,13 @@ def _path(spark: SparkSession, path: str):
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local-mode session (tests) may fall back to a temporary folder.
+    A session that names none gets a folder beside its warehouse, which executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
-    folder = tempfile.mkdtemp(prefix="obligato-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -10,6 +10,7 @@ from obligato.functions.dates import fiscal_years, lookback_window
 from obligato.plans import audit, history, ingest, publish, staging
 from obligato.sources import files, landed
 from obligato.sources.raw_store import DayStore
+from obligato.sources import schemas
 from obligato.sources.schemas import RAW_AWARDS, RAW_TRANSACTIONS
 from tests.handmade import ACTIONS, AWARDS, DAY, DETAILS, action, award, d, detail, frames
 
@@ -232,3 +233,50 @@ def test_pointer_file_is_replaced_whole(spark, tmp_path):
     for text in ("first run", "second"):
         files.replace_text(spark, path, text)
         assert files.read_text(spark, path) == text
+
+
+def test_numbers_keep_their_value_or_become_null(spark):
+    from obligato.sources.landed import _typed
+    from pyspark.sql import types as T
+
+    texts = spark.createDataFrame([(t,) for t in ("6", "6.0", "1e1", "6.5", "NaN", "x", None)], "t string")
+    got = texts.select(_typed(F.col("t"), T.LongType()).alias("n"), _typed(F.col("t"), T.DoubleType()).alias("x")).collect()
+    assert [r.n for r in got] == [6, 6, 10, None, None, None, None]
+    assert [r.x for r in got] == [6.0, 6.0, 10.0, 6.5, None, None, None]
+
+
+def test_an_emptied_day_is_empty(spark, tmp_path):
+    store = DayStore(spark, str(tmp_path))
+    rows = spark.createDataFrame([detail("E1", "2027-01-31", "2027-01-31")], schemas.RAW_AWARD_DETAILS)
+    store.replace_day("raw_award_details", DAY, rows)
+    assert store.read("raw_award_details").count() == 1
+    store.replace_day("raw_award_details", DAY, rows.limit(0))
+    assert store.read("raw_award_details").count() == 0 and store.days("raw_award_details") == [DAY]
+
+
+def test_unfit_amounts_are_counted_and_fractions_kept(spark):
+    from obligato.functions.money import exact_sum
+    from obligato.plans import ingest
+
+    awards = spark.createDataFrame([award(f"U{i}", award_amount=x) for i, x in enumerate((1e300, float("inf"), 12.345))], schemas.RAW_AWARDS)
+    none = spark.createDataFrame([], schemas.RAW_TRANSACTIONS), spark.createDataFrame([], schemas.RAW_AWARD_DETAILS)
+    counted = {r["check"]: r["failing_rows"] for r in ingest.gate_amounts(awards, *none).collect()}
+    assert counted == {"awards_unfit_amount": 2, "transactions_unfit_amount": 0, "details_unfit_amount": 0}
+    assert awards.where("award_amount < 100").agg(exact_sum(F.col("award_amount"))).first()[0] == 12.345
+
+
+def test_a_pivot_leaves_no_year_out(spark):
+    from obligato.plans.reports import department_by_fy
+
+    rows = spark.createDataFrame([("D", 2026, 1.0), ("D", 2019, 100.0), ("D", None, 5.0)], "awarding_department string, fiscal_year int, obligated_amount double")
+    got = department_by_fy(rows, [2025, 2026]).first()
+    assert (got.fy2025, got.fy2026, got.other_years, got.all_years) == (None, 1.0, 105.0, 106.0)
+
+
+def test_unsupported_patterns_are_refused():
+    from obligato.functions.text import _alternatives
+
+    assert _alternatives(r"A|B[C|D]|^E\s*(F)?$") == ["A", r"B[C|D]", r"^E\s*(F)?$"]
+    for pattern in (r"A(B|C)", r"A\bB", r"A\$", r"A$B", r"(?i)A"):
+        with pytest.raises(ValueError):
+            _alternatives(pattern)
