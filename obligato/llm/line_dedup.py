@@ -125,7 +125,8 @@ def lines_to_drop(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: in
 
     suspects = materialized(map_rows(docs, {"doc_id": "long", "key": "string"}, make))
     repeats = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_documents)
-    lost = suspects.join(repeats, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    # Stored, so that the join takes both sides straight from a shuffle and a very common line can be split.
+    lost = suspects.join(materialized(repeats), "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return lost.groupBy("doc_id").agg(F.collect_set(F.unhex(F.md5("key"))).alias("keys"))
 
 
