@@ -1,9 +1,11 @@
 """Helpers shared by the text operators: batch maps, hot-group salts, shared storage."""
 
 import hashlib
+import os
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import chain, count, islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +22,18 @@ _ARROW = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _find_package(spark: SparkSession) -> None:
+    """Python workers of a session started in another folder look for this package where it was loaded from."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def ddl(schema: dict[str, str]) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in schema.items())
 
