@@ -1,10 +1,10 @@
-"""Hand-built raw rows as of 28 September 2026, one per rule the models must get right."""
+"""Hand-built raw rows as of 15 May 2023: H rows belong to the niche, Q rows are kept out of it."""
 
 import datetime as dt
 
 from obligato.sources.schemas import RAW_AWARD_DETAILS, RAW_AWARDS, RAW_TRANSACTIONS
 
-DAY = dt.date(2026, 9, 28)
+DAY = dt.date(2023, 5, 15)
 
 
 def d(text):
@@ -18,83 +18,90 @@ def row(schema, values, defaults):
 
 
 def award(key, **values):
-    values = {"award_key": key, "award_id": key, **values}
-    start = values.get("start_date", d("2025-01-01"))
-    return row(RAW_AWARDS, values, {
-        "snapshot_date": DAY, "recipient_name": "VENDOR ONE", "recipient_uei": "UEI000000001",
-        "awarding_agency": "Department of Defense", "awarding_sub_agency": "Washington Headquarters Services",
-        "award_amount": 100000.0, "start_date": start, "base_obligation_date": start,
-        "end_date": d("2027-06-30"), "naics_code": "561312", "psc_code": "R431",
-        "description": "EXECUTIVE SEARCH SERVICES", "contract_award_type": "DELIVERY ORDER",
-        "last_modified_date": dt.datetime(2026, 9, 1),
+    start = values.get("start_date", d("2022-11-15"))
+    return row(RAW_AWARDS, {"award_key": key, "award_id": f"id {key}", **values}, {
+        "snapshot_date": DAY, "recipient_name": "ALDER TALENT", "recipient_uei": "ALDER",
+        "awarding_agency": "Ministry of Harbors", "awarding_sub_agency": "Pilot Board",
+        "award_amount": 40000.0, "start_date": start, "base_obligation_date": start,
+        "end_date": d("2024-02-29"), "naics_code": "561311", "psc_code": "R499",
+        "description": "PLACEMENT OF HARBOR CREWS", "contract_award_type": "PURCHASE ORDER",
+        "last_modified_date": dt.datetime(2023, 5, 2, 8, 30),
     })
 
 
 def action(key, modification, day, amount, **values):
-    values = {"award_key": key, "award_id": key, "modification_number": modification, "action_date": d(day),
-              "obligation_amount": amount, "action_type": None if modification == "0" else "B", **values}
-    return row(RAW_TRANSACTIONS, values, {
-        "snapshot_date": DAY, "recipient_name": "X", "recipient_uei": "UEI000000001",
-        "awarding_agency": "Department of Defense", "awarding_sub_agency": "Washington Headquarters Services",
-        "contract_award_type": "DELIVERY ORDER", "naics_code": "561312", "psc_code": "R431",
-        "transaction_description": "",
+    return row(RAW_TRANSACTIONS, {"award_key": key, "modification_number": modification, "action_date": d(day),
+                                  "obligation_amount": amount, **values}, {
+        "snapshot_date": DAY, "award_id": f"id {key}", "action_type": "C", "recipient_name": "AS ON THE ORDER",
+        "recipient_uei": "ALDER", "awarding_agency": "Ministry of Harbors", "awarding_sub_agency": "Pilot Board",
+        "contract_award_type": "PURCHASE ORDER", "naics_code": "561311", "psc_code": "R499",
+        "transaction_description": "crew placement",
     })
 
 
 def detail(key, end, potential, **values):
-    values = {"award_key": key, "current_end_date": d(end), "potential_end_date": d(potential), **values}
-    return row(RAW_AWARD_DETAILS, values, {
-        "snapshot_date": DAY, "obligated_amount": 100000.0, "base_exercised_options_value": 100000.0})
+    return row(RAW_AWARD_DETAILS, {"award_key": key, "current_end_date": d(end), "potential_end_date": d(potential),
+                                   **values}, {
+        "snapshot_date": DAY, "obligated_amount": 31000.0, "base_exercised_options_value": 36000.0})
 
 
-def vendor(number, name):
-    return {"recipient_uei": f"UEI{number:0>9}", "recipient_name": name}
+def vendor(uei, name):
+    return {"recipient_uei": uei, "recipient_name": name}
 
 
+def office(agency, sub_agency):
+    return {"awarding_agency": agency, "awarding_sub_agency": sub_agency}
+
+
+GRID = office("Energy Council", "Grid Desk")
+WEATHER = office("Weather Office", "Weather Office")
+TRAIL = office("Parks Authority", "Trail Service")
+DREDGING = office("Ministry of Harbors", "Dredging Bureau")
+BIRCH, CEDAR = vendor("BIRCH", "BIRCH CREWS"), vendor("CEDAR", "CEDAR PARTNERS")
+
 AWARDS = [
-    award("A1"),
-    award("A7", end_date=d("2026-11-30"), awarding_sub_agency="Department of State",
-          awarding_agency="Department of State", description="FOREIGN SERVICE RECRUITMENT SERVICES",
-          **vendor(7, "VENDOR SEVEN")),
-    award("A2", end_date=d("2026-09-17"), start_date=d("2025-04-18")),
-    award("A3", end_date=d("2025-01-01"), start_date=d("2023-01-01"), awarding_sub_agency="Army",
-          description="RECRUITING SERVICES", **vendor("A", "OLD INCUMBENT")),
-    award("A4", end_date=d("2028-01-31"), start_date=d("2025-02-01"), awarding_sub_agency="Army",
-          description="RECRUITING SERVICES", **vendor("B", "NEW WINNER")),
-    award("A8", end_date=d("2024-03-01"), start_date=d("2023-03-01"), awarding_sub_agency="Smithsonian",
-          awarding_agency="Smithsonian Institution", description="SERVICES (OPS) DIRECTOR",
-          **vendor(8, "VENDOR EIGHT")),
-    award("A9", award_amount=0.0, awarding_sub_agency="USAID", awarding_agency="Agency for International Development",
-          description="USPSC CONTRACT FOR THE DEPUTY MISSION DIRECTOR", **vendor(9, "FOREIGN AWARDEES (UNDISCLOSED)")),
-    award("A10", description="EXECUTIVE SEARCH FOR A SYSTEMS SUPPORT DIRECTOR", **vendor(10, "VENDOR TEN")),
-    award("A11", description="IGF::CT::IGF MARKETING AND RECRUITING SUPPORT SERVICES",
-          awarding_sub_agency="Army Reserve", **vendor(11, "VENDOR ELEVEN")),
-    award("A12", description="PRIVATE SECTOR LEADERSHIP BUSINESS OPERATORS PROGRAM SUPPORT",
-          awarding_sub_agency="Defense Office", **vendor(12, "VENDOR TWELVE")),
-    award("A13", description="FUND THE POSITION OF DEPUTY PROGRAM OFFICER US PSC",
-          awarding_sub_agency="USAID Mission", **vendor(13, "VENDOR THIRTEEN")),
-    award("X1", description="LINKEDIN LICENSES AND JOB POSTINGS", **vendor("X1", "LINKEDIN")),
-    award("X2", description="IGF::OT::IGF SALESFORCE IT SUPPORT", **vendor("X2", "IT CO")),
-    award("X3", description="BPA CALL 0008", **vendor("X3", "CALL CO")),
-    award("X4", description="RECRUITING ADVERTISING CAMPAIGN", psc_code="R701", **vendor("X4", "AD CO")),
-    award("X5", description="COMMERCIAL ADVERTISING FOR NAVFAC", psc_code="R699", **vendor("X5", "AD CO 2")),
-    award("A1", award_amount=1.0, snapshot_date=d("2026-09-27")),
+    # End dates on both sides of every status limit.
+    award("H1", end_date=d("2023-11-15"), start_date=d("2022-09-30"), award_amount=35000.0, **GRID, **BIRCH),
+    award("H2", end_date=d("2023-11-16"), start_date=d("2022-05-15"), award_amount=0.0, **GRID,
+          **vendor("HIDDEN", "Multiple Recipients")),
+    award("H3", end_date=d("2024-05-15")),
+    award("H4", end_date=d("2024-05-16"), start_date=d("2021-12-01"), award_amount=12000.0, **WEATHER, **CEDAR),
+    award("H5", end_date=d("2023-05-14"), start_date=d("2021-11-15")),
+    award("H6", end_date=d("2023-05-15"), start_date=d("2022-05-16"), **DREDGING, **vendor("DOGWOOD", "DOGWOOD HR")),
+    award("H7", end_date=d("2021-12-31"), start_date=d("2020-01-01"), award_amount=9000.0, **TRAIL,
+          **vendor("ELM", "ELM BROTHERS")),
+    # Words of a rule that recruiting words cancel.
+    award("H8", description="SYSTEM SUPPORT: STAFFING OF THE LOCKS", award_amount=62500.5),
+    award("H9", description="HIRING FAIR FOR EQUIPMENT OPERATORS", **vendor("FIR", "FIR PEOPLE")),
+    # One row for each reason to stay outside.
+    award("Q1", description="HIREEZ SEATS"),
+    award("Q2", description="SOFTWARE FOR RECRUITING"),
+    award("Q3", description="STAGE LIGHTING"),
+    award("Q4", description="ADVERTISEMENTS IN PORT NEWS"),
+    award("Q5", description=" call #7 "),
+    award("Q6", naics_code="541611"),
+    award("Q7", psc_code="B599"),
+    award("Q8", description="ORACLE DATABASE"),
+    # An older day.
+    award("H1", snapshot_date=d("2023-05-10"), award_amount=7.0),
 ]
 ACTIONS = [
-    action("A1", "0", "2025-01-15", 60000.0),
-    action("A1", "P00001", "2025-10-05", 40000.0),
-    action("A2", "0", "2025-04-20", 100000.0),
-    action("A4", "0", "2025-02-01", 100000.0, awarding_sub_agency="Army", recipient_uei="UEI00000000B"),
-    action("A4", "P00001", "2026-03-01", -5000.0, awarding_sub_agency="Army", recipient_uei="UEI00000000B"),
-    action("X1", "0", "2025-06-01", 100000.0, recipient_uei="UEI0000000X1"),
+    action("H1", "0", "2022-09-30", 30000.0, **GRID, **BIRCH),
+    action("H1", "M1", "2022-10-01", 7500.25, **GRID, **BIRCH),
+    action("H1", "M2", "2023-04-03", -2500.25, **GRID, **BIRCH),
+    action("H4", "0", "2021-12-01", 12000.0, **WEATHER, **CEDAR),
+    action("H7", "0", "2020-01-01", 9000.0, **TRAIL, recipient_uei="ELM"),
+    action("Q1", "0", "2023-01-10", 5000.0),
 ]
 DETAILS = [
-    detail("A1", "2027-06-30", "2029-06-30", type_set_aside_description="8A COMPETED",
-           number_of_offers_received=6, base_and_all_options_value=300000.0),
-    detail("A7", "2026-11-30", "2026-11-30", type_set_aside_description="SMALL BUSINESS SET ASIDE - TOTAL"),
-    detail("A4", "2028-01-31", "2030-01-31"),
-    detail("A9", "2027-06-30", "2027-07-15"),
-    *[detail(key, "2027-06-30", "2027-06-30") for key in ("A10", "A11", "A12", "A13")],
+    detail("H1", "2023-11-15", "2024-11-15", type_set_aside_description="VETERAN FIRM",
+           number_of_offers_received=3, base_and_all_options_value=90000.0),
+    detail("H2", "2023-11-16", "2023-12-16"),
+    detail("H3", "2024-05-15", "2024-06-15"),
+    detail("H4", "2024-05-16", "2026-05-16"),
+    detail("H6", "2023-05-15", "2023-05-15", type_set_aside_description="LOCAL FIRM"),
+    detail("H8", "2024-02-29", "2024-02-29"),
+    detail("H9", "2024-02-29", "2024-02-29"),
 ]
 
 

@@ -24,61 +24,66 @@ def lines(path, records):
 
 def test_awards_from_json(spark, tmp_path):
     path = lines(tmp_path / "awards.json", [
-        {"generated_internal_id": "K1", "Award ID": "P1", "Award Amount": 17250000, "Total Outlays": None,
-         "Start Date": "2026-04-01", "End Date": "2027-03-31", "Recipient Name": "R & S",
-         "NAICS": {"code": "561312", "description": "SEARCH"}, "PSC": {"code": "R431", "description": "HR"},
-         "Last Modified Date": "2026-04-02 10:11:12", "Base Obligation Date": "2026-04-01", "agency_slug": "x"},
-        {"generated_internal_id": "K2", "PSC": None, "NAICS": "561311", "Award Amount": "12.5", "Total Outlays": 0},
-        {"generated_internal_id": "K3", "Award Amount": "n/a", "Start Date": "not a date", "End Date": "2027-02-30",
-         "Last Modified Date": "late", "Total Outlays": "5d"},
+        {"generated_internal_id": "LOCK", "Award ID": "77-L", "Award Amount": 640000, "Total Outlays": None,
+         "Start Date": "2022-02-28", "End Date": "2024-02-29", "Recipient Name": "Elm & Sons",
+         "NAICS": {"code": "561311", "description": "PLACEMENT"}, "PSC": {"code": "R499", "description": "OTHER"},
+         "Last Modified Date": "2023-01-31 23:59:58", "Base Obligation Date": "2022-02-27", "unknown field": [1]},
+        {"generated_internal_id": "TEXT", "PSC": None, "NAICS": "561320", "Award Amount": "0.75", "Total Outlays": 0},
+        {"generated_internal_id": "BAD", "Award Amount": "about 5", "Start Date": "spring", "End Date": "2023-02-29",
+         "Last Modified Date": "-", "Total Outlays": "9x"},
     ])
-    rows = {r["award_key"]: r for r in landed.read_awards(spark, path).collect()}
-    assert list(rows["K1"].asDict()) == [f.name for f in RAW_AWARDS.fields if f.name != "snapshot_date"]
-    first = rows["K1"]
-    assert (first["award_amount"], first["naics_code"], first["psc_description"]) == (17250000.0, "561312", "HR")
-    assert first["start_date"] == d("2026-04-01") and first["last_modified_date"] == dt.datetime(2026, 4, 2, 10, 11, 12)
-    assert first["total_outlays"] is None and rows["K2"]["total_outlays"] == 0.0
-    assert rows["K2"]["psc_code"] is None and rows["K2"]["naics_code"] is None and rows["K2"]["award_amount"] == 12.5
-    assert all(rows["K3"][c] is None for c in
-               ("award_amount", "start_date", "end_date", "last_modified_date", "total_outlays"))
+    rows = {r["award_key"]: r.asDict() for r in landed.read_awards(spark, path).collect()}
+    assert set(rows["LOCK"]) == {f.name for f in RAW_AWARDS.fields} - {"snapshot_date"}
+
+    def part(key, *columns):
+        return [rows[key][c] for c in columns]
+
+    assert part("LOCK", "award_amount", "total_outlays", "naics_code", "psc_description", "recipient_name") == [
+        640000.0, None, "561311", "OTHER", "Elm & Sons"]
+    assert part("LOCK", "start_date", "end_date", "last_modified_date", "base_obligation_date") == [
+        d("2022-02-28"), d("2024-02-29"), dt.datetime(2023, 1, 31, 23, 59, 58), d("2022-02-27")]
+    assert part("TEXT", "award_amount", "total_outlays", "psc_code", "naics_code") == [0.75, 0.0, None, None]
+    assert part("BAD", "award_amount", "start_date", "end_date", "last_modified_date", "total_outlays") == [None] * 5
 
 
 def test_transactions_and_details_from_json(spark, tmp_path):
     path = lines(tmp_path / "tx.json", [
-        {"generated_internal_id": "K", "Mod": "0", "Action Type": None, "Action Date": "2026-04-15",
-         "Transaction Amount": 2875000.0, "product_or_service_code": "R431", "naics_code": "561312"},
-        {"generated_internal_id": "K", "Mod": "P00002", "Action Type": "M", "Transaction Amount": -1000.0,
-         "product_or_service_code": None, "Award Type": "DELIVERY ORDER"},
+        {"generated_internal_id": "LOCK", "Mod": "M9", "Action Type": "K", "Transaction Amount": -88.25,
+         "naics_code": None, "product_or_service_code": "R431", "Award Type": "BPA CALL"},
+        {"generated_internal_id": "LOCK", "Mod": "0", "Action Type": None, "Action Date": "2022-02-28",
+         "Transaction Amount": "1204", "naics_code": "561311"},
     ])
-    base, change = landed.read_transactions(spark, path).orderBy("modification_number").collect()
-    assert base["action_type"] is None and base["psc_code"] == "R431" and base["action_date"] == d("2026-04-15")
-    assert change["obligation_amount"] == -1000.0 and change["contract_award_type"] == "DELIVERY ORDER"
+    seen = {r.modification_number: (r.action_type, r.action_date, r.obligation_amount, r.psc_code, r.contract_award_type)
+            for r in landed.read_transactions(spark, path).collect()}
+    assert seen == {"M9": ("K", None, -88.25, "R431", "BPA CALL"), "0": (None, d("2022-02-28"), 1204.0, None, None)}
 
     path = lines(tmp_path / "details.json", [
-        {"generated_unique_award_id": "K", "total_obligation": 2729582.4, "base_and_all_options": 6823956,
-         "period_of_performance": {"end_date": "2026-10-30", "potential_end_date": "2029-10-30 00:00:00"},
-         "latest_transaction_contract_data": {"number_of_offers_received": "6", "type_set_aside": "8A"}},
-        {"generated_unique_award_id": "EMPTY"},
-        {"generated_unique_award_id": "HALF", "latest_transaction_contract_data": {"number_of_offers_received": "6.5"}},
+        {"generated_unique_award_id": "LOCK", "total_obligation": 1115.75, "base_and_all_options": 5000,
+         "period_of_performance": {"end_date": "2024-02-29", "potential_end_date": "2028-02-29 00:00:00"},
+         "latest_transaction_contract_data": {"number_of_offers_received": "11", "type_set_aside": "LF"}},
+        {"generated_unique_award_id": "BARE"},
+        {"generated_unique_award_id": "PART", "latest_transaction_contract_data": {"number_of_offers_received": "2.25"}},
     ])
-    rows = {r["award_key"]: r for r in landed.read_details(spark, path).collect()}
-    assert rows["K"]["potential_end_date"] == d("2029-10-30") and rows["K"]["number_of_offers_received"] == 6
-    assert rows["K"]["base_and_all_options_value"] == 6823956.0 and rows["K"]["type_set_aside"] == "8A"
-    assert all(v is None for c, v in rows["EMPTY"].asDict().items() if c != "award_key")
-    assert rows["HALF"]["number_of_offers_received"] is None
+    rows = {r["award_key"]: r.asDict() for r in landed.read_details(spark, path).collect()}
+    assert {k: v for k, v in rows["LOCK"].items() if v is not None} == {
+        "award_key": "LOCK", "current_end_date": d("2024-02-29"), "potential_end_date": d("2028-02-29"),
+        "obligated_amount": 1115.75, "base_and_all_options_value": 5000.0, "type_set_aside": "LF",
+        "number_of_offers_received": 11}
+    for key in ("BARE", "PART"):
+        assert [c for c, v in rows[key].items() if v is not None] == ["award_key"]
 
 
 def test_lookback_window():
-    assert lookback_window(d("2026-09-24")) == (d("2021-10-01"), d("2026-09-24"))
-    assert lookback_window(d("2026-10-01")) == (d("2022-10-01"), d("2026-10-01"))
-    assert fiscal_years(d("2026-10-01"), 2) == [2026, 2027]
+    assert lookback_window(d("2023-09-30")) == (d("2018-10-01"), d("2023-09-30"))
+    assert lookback_window(d("2023-10-01")) == (d("2019-10-01"), d("2023-10-01"))
+    assert fiscal_years(d("2023-10-01"), 2) == [2023, 2024]
 
 
 def test_search_window_is_inclusive(spark):
-    rows = [action("A", "1", "2021-10-01", 1.0), action("A", "2", "2021-09-30", 1.0), action("A", "3", "2026-09-24", 1.0),
-            action("A", "4", "2026-01-01", 1.0, naics_code="541511"),
-            action("A", "5", "2026-01-01", 1.0, contract_award_type="GRANT")]
-    kept = staging.niche_search(spark.createDataFrame(rows, RAW_TRANSACTIONS), *lookback_window(d("2026-09-24")))
+    rows = [action("A", "1", "2018-10-01", 1.0), action("A", "2", "2018-09-30", 1.0), action("A", "3", "2023-05-15", 1.0),
+            action("A", "4", "2023-01-01", 1.0, naics_code="541511"),
+            action("A", "5", "2023-01-01", 1.0, contract_award_type="GRANT")]
+    kept = staging.niche_search(spark.createDataFrame(rows, RAW_TRANSACTIONS), *lookback_window(DAY))
     assert sorted(r["modification_number"] for r in kept.collect()) == ["1", "3"]
 
 
@@ -125,24 +130,23 @@ def pull(spark, awards=GOLDEN, actions=ACTIONS, details=DETAILS):
 
 def test_load_is_all_or_nothing_and_replaces_one_day(spark, tmp_path):
     store = DayStore(spark, str(tmp_path / "raw"))
-    running = [detail("A1", "2027-06-30", "2027-06-30"), *DETAILS[1:]] + [
-        detail(k, "2027-06-30", "2027-06-30") for k in ("X1", "X2", "X3", "X4", "X5")]
-    with pytest.raises(ingest.ValidationError, match="running_without_details: 5"):
+    running = DETAILS + [detail(f"Q{n}", "2024-02-29", "2024-02-29") for n in range(1, 9)]
+    with pytest.raises(ingest.ValidationError, match="running_without_details: 8"):
         ingest.load_day(store, DAY, *pull(spark), min_rows=1)
     assert store.days("raw_awards") == store.days("raw_transactions") == store.days("raw_award_details") == []
 
-    ingest.load_day(store, DAY, *pull(spark, details=running), expected_awards=16, min_rows=1)
-    ingest.load_day(store, d("2026-09-29"), *pull(spark, details=running), min_rows=1)
+    ingest.load_day(store, DAY, *pull(spark, details=running), expected_awards=17, min_rows=1)
+    ingest.load_day(store, d("2023-05-16"), *pull(spark, details=running), min_rows=1)
     twice = [*GOLDEN, GOLDEN[0]]  # an exact copy is dropped, not rejected
-    ingest.load_day(store, d("2026-09-29"), *pull(spark, awards=twice, details=running), min_rows=1)
-    assert store.days("raw_awards") == [DAY, d("2026-09-29")]
+    ingest.load_day(store, d("2023-05-16"), *pull(spark, awards=twice, details=running), min_rows=1)
+    assert store.days("raw_awards") == [DAY, d("2023-05-16")]
     assert {r["snapshot_date"]: r["count"] for r in store.read("raw_awards").groupBy("snapshot_date").count().collect()} == {
-        DAY: 16, d("2026-09-29"): 16}
+        DAY: 17, d("2023-05-16"): 17}
     assert store.read_latest("raw_awards", DAY).select("snapshot_date").distinct().first()[0] == DAY
     assert store.read("raw_awards").columns == store.read("raw_awards", [DAY]).columns == [f.name for f in RAW_AWARDS.fields]
     with pytest.raises(ingest.ValidationError, match="awards_incomplete"):
-        ingest.load_day(store, d("2026-09-30"), *pull(spark, details=running), expected_awards=17, min_rows=1)
-    assert store.days("raw_awards") == [DAY, d("2026-09-29")]
+        ingest.load_day(store, d("2023-05-17"), *pull(spark, details=running), expected_awards=18, min_rows=1)
+    assert store.days("raw_awards") == [DAY, d("2023-05-16")]
 
 
 @pytest.fixture(scope="module")
@@ -161,26 +165,26 @@ def totals(spark, *rows):
 
 def test_publish_only_after_every_check(spark, loaded):
     store, warehouse, snapshots = loaded
-    with pytest.raises(publish.CheckFailed, match="niche_size_in_range: 1"):
+    with pytest.raises(publish.PublishRefused, match="niche_size_in_range: 1"):
         publish.refresh(store, warehouse, snapshots)
     assert warehouse.live_run() is None and snapshots.days(history.TABLE) == []
     with pytest.raises(LookupError):
         warehouse.table("fact_awards")
 
-    control = totals(spark, ("Department of Defense", 395000.0 * 1.004), ("Department of State", 5.0))
+    control = totals(spark, ("Energy Council", 35000.0 * 1.004), ("Weather Office", 5.0))
     run = publish.refresh(store, warehouse, snapshots, control, niche_size=(1, 600))
-    assert warehouse.live_run() == run and warehouse.table("fact_awards").count() == 11
+    assert warehouse.live_run() == run and warehouse.table("fact_awards").count() == 9
     assert snapshots.days(history.TABLE) == [DAY]
-    assert spark.sql("SELECT count(*) FROM vw_dash_wins").first()[0] == 11
+    assert spark.sql("SELECT count(*) FROM vw_dash_wins").first()[0] == 9
     assert spark.sql("SELECT count(*) FROM vw_award_events").first()[0] == 0
 
-    with pytest.raises(publish.CheckFailed, match="control totals: Department of Defense"):
-        publish.refresh(store, warehouse, snapshots, totals(spark, ("Department of Defense", 395000.0 * 1.05)),
+    with pytest.raises(publish.PublishRefused, match="control totals: Energy Council"):
+        publish.refresh(store, warehouse, snapshots, totals(spark, ("Energy Council", 35000.0 * 1.05)),
                         niche_size=(1, 600))
     assert warehouse.live_run() == run
     again = publish.refresh(store, warehouse, snapshots, niche_size=(1, 600))
     assert warehouse.live_run() == again != run
-    assert snapshots.read(history.TABLE).count() == 11
+    assert snapshots.read(history.TABLE).count() == 9
 
 
 def test_raw_tables_at_different_days_are_refused(spark, loaded, tmp_path):
@@ -188,8 +192,8 @@ def test_raw_tables_at_different_days_are_refused(spark, loaded, tmp_path):
     mixed = DayStore(spark, str(tmp_path / "raw"))
     for table in mixed.schemas:
         mixed.replace_days(table, store.read(table))
-    mixed.replace_days("raw_awards", store.read("raw_awards").withColumn("snapshot_date", F.lit(d("2026-09-29"))))
-    with pytest.raises(publish.CheckFailed, match="different days"):
+    mixed.replace_days("raw_awards", store.read("raw_awards").withColumn("snapshot_date", F.lit(d("2023-05-16"))))
+    with pytest.raises(publish.PublishRefused, match="different days"):
         publish.refresh(mixed, warehouse, snapshots, niche_size=(1, 600))
 
 
@@ -213,18 +217,19 @@ def test_reconcile(spark, control, failed, agency):
 
 def test_audit_finds_violations(spark):
     built = publish.build(*frames(spark))
-    fact = built["fact_awards"].unionByName(built["fact_awards"].where("award_key = 'A1'"))
-    fact = fact.withColumn("recipient_uei", F.when(F.col("award_key") != "A9", F.col("recipient_uei"))).withColumn(
-        "status", F.when(F.col("award_key") == "A8", "lost").otherwise(F.col("status")))
-    fact = fact.withColumn("recipient_uei", F.when(F.col("award_key") != "A7", "U"))
+    key = F.col("award_key")
+    fact = built["fact_awards"].unionByName(built["fact_awards"].where("award_key = 'H1'")).withColumns({
+        "recipient_uei": F.when(key != "H2", F.col("recipient_uei")),
+        "status": F.when(key == "H5", "lost").otherwise(F.col("status"))})
     actions = built["fct_obligations"]
-    actions = actions.unionByName(actions.where("award_key = 'A1'")).unionByName(
-        actions.where("award_key = 'A2'").withColumn("award_key", F.lit("LOST")))
-    listed = built["recompetes"].withColumn("potential_end_date", F.when(F.col("award_key") != "A7", F.col("potential_end_date")))
-    listed = listed.withColumn("end_date", F.when(F.col("award_key") == "A9", F.lit(d("2026-09-27"))).otherwise(F.col("end_date")))
+    actions = actions.unionByName(actions.where("award_key = 'H1'")).unionByName(
+        actions.where("award_key = 'H4'").withColumn("award_key", F.lit("LOST")))
+    listed = built["recompetes"].withColumns({
+        "potential_end_date": F.when(key != "H3", F.col("potential_end_date")),
+        "end_date": F.when(key == "H9", F.lit(d("2023-05-14"))).otherwise(F.col("end_date"))})
     results = audit.audit_results(fact, actions, listed, built["stg_awards"], niche_size=(1, 600))
     assert found(results) == {
-        "unique_award_key": 1, "awards_have_agency_and_vendor": 1, "status_values": 1, "unique_obligation_key": 2,
+        "unique_award_key": 1, "awards_have_agency_and_vendor": 1, "status_values": 1, "unique_obligation_key": 3,
         "obligations_belong_to_awards": 1, "recompetes_have_details": 1, "recompetes_not_expired": 1}
 
 

@@ -92,9 +92,9 @@ def hot_third(spark, path):
     """Actions of which a third belong to one award and a third to one sub-agency; several files."""
     i = F.col("id")
     rows = spark.range(0, 30000, 1, 12).select(
-        F.lit(d("2026-09-28")).alias("snapshot_date"),
+        F.lit(d("2023-05-15")).alias("snapshot_date"),
         F.when(i % 3 == 0, "HOT").otherwise(F.concat(F.lit("A"), (i % 500).cast("string"))).alias("award_key"),
-        i.cast("string").alias("modification_number"), F.lit(d("2026-01-01")).alias("action_date"),
+        i.cast("string").alias("modification_number"), F.lit(d("2023-01-01")).alias("action_date"),
         F.lit(1.0).alias("obligation_amount"),
         F.when(i % 3 == 1, "HOT SUB").otherwise(F.concat(F.lit("S"), (i % 300).cast("string"))).alias("awarding_sub_agency"),
     )
