@@ -44,6 +44,11 @@ SNAPSHOT_DAILY = _columns("""
     award_amount double, end_date date, status string, successor_award_key string, reconstructed boolean
 """)
 
+AWARD_EVENTS = _columns("""
+    snapshot_date date, award_key string, award_id string, awarding_sub_agency string, recipient_name string,
+    event string, old_value string, new_value string
+""")
+
 RAW_TABLES = {
     "raw_awards": RAW_AWARDS,
     "raw_transactions": RAW_TRANSACTIONS,

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from obligato.functions.dates import fiscal_years, lookback_window
 from obligato.operators.changes import award_events
+from obligato.functions.money import exact_sum
 from obligato.operators.checks import together
+from obligato.operators.snapshots import keep_latest
 from obligato.plans import audit, history, ingest, marts, niche, publish, reports, staging, views
 from obligato.sources import landed, schemas
 from obligato.sources.files import shared_folder
@@ -121,14 +123,14 @@ def niche_window_filter(spark, sf_dir):
 
 
 def gate_counts(spark, sf_dir):
-    """Both pulls against an exact control count and one that is off by one."""
+    """Both pulls against the counts of the given tables, and against ones that are off by one and a far larger minimum."""
     m = Models(spark, sf_dir, store=("raw_awards", "raw_transactions"))
-    count = {t: getattr(m, t).agg(F.count("*")).scalar() for t in ("raw_awards", "raw_transactions")}
+    awards, actions = adapter.control_counts(spark, sf_dir)
     runs = [
-        together([ingest.gate_awards(m.raw_awards, count["raw_awards"] + off),
-                  ingest.gate_transactions(m.raw_transactions, count["raw_transactions"] + off)])
+        together([ingest.gate_awards(m.raw_awards, awards + off, min_rows),
+                  ingest.gate_transactions(m.raw_transactions, actions + off)])
         .select(F.lit(name).alias("control"), "check", "failing_rows")
-        for name, off in (("exact", 0), ("off_by_one", 1))
+        for name, off, min_rows in (("exact", 0, ingest.fixed.MIN_AWARDS), ("off_by_one", 1, 10**9))
     ]
     return together(runs).where(F.col("check").isin("awards_too_few", "awards_incomplete", "transactions_incomplete"))
 
@@ -144,7 +146,16 @@ def gate_duplicates(spark, sf_dir):
 
 
 def gate_missing(spark, sf_dir):
-    return _all_gates(spark, sf_dir).where(F.col("check").contains("missing"))
+    """Pulls in which every required column is empty in some rows."""
+    def spoiled(rows, **every):
+        return rows.withColumns({c: F.when(_order_of() % n != 0, F.col(c)) for c, n in every.items()})
+
+    m = Models(spark, sf_dir)
+    return together([
+        ingest.gate_awards(spoiled(m.raw_awards, award_key=83)),
+        ingest.gate_transactions(spoiled(m.raw_transactions, award_key=79, action_date=71)),
+        ingest.gate_details(spoiled(m.raw_award_details, award_key=73)),
+    ]).where(F.col("check").contains("missing"))
 
 
 def gate_orphans(spark, sf_dir):
@@ -168,8 +179,12 @@ def exact_dedupe(spark, sf_dir):
 
 
 def audit_results(spark, sf_dir):
-    m = Models(spark, sf_dir, store=("fact",))
-    return audit.audit_results(m.fact, m.niche_obligations, m.recompetes, m.awards)
+    """The audit of models spoiled so that every data test finds rows: repeated awards, odd statuses, ended periods."""
+    m, k = Models(spark, sf_dir, store=("fact",)), _order_of()
+    fact = m.fact.withColumn("status", F.when(k % 67 == 0, "lost").otherwise(F.col("status")))
+    fact = fact.select("*", F.explode(F.when(k % 61 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    ended = F.when(k % 7 == 0, F.date_sub("as_of_date", 1)).otherwise(F.col("end_date"))
+    return audit.audit_results(fact, m.niche_obligations, m.recompetes.withColumn("end_date", ended), m.awards)
 
 
 def reconcile_totals(spark, sf_dir):
@@ -264,7 +279,7 @@ def flatten_details(spark, sf_dir):
 def _clean_pull(spark, sf_dir, day):
     """A pull that passes the gates and the audit: one row per key, every action with an award, all named."""
     awards = adapter.raw_awards(spark, sf_dir, [day])
-    awards = awards.dropDuplicates(["award_key"]).withColumn(
+    awards = keep_latest(awards, ["award_key"], [F.col("last_modified_date").desc()]).withColumn(
         "recipient_uei", F.coalesce(F.nullif(F.trim("recipient_uei"), F.lit("")), F.lit("UEI_NONE")))
     actions = (adapter.raw_transactions(spark, sf_dir, [day])
                .groupBy("award_key", "modification_number", "awarding_agency", "awarding_sub_agency")
@@ -285,16 +300,27 @@ def _clean_pull(spark, sf_dir, day):
 
 
 def publish_roundtrip(spark, sf_dir):
-    """Load a day through the gates, build, audit, publish; then rows and dollars of the published tables."""
+    """Load a day through the gates, be refused for totals that are too high, then publish; rows and dollars of each table."""
     root = f"{shared_folder(spark)}/publish-{uuid.uuid4().hex}"
     store, warehouse = DayStore(spark, f"{root}/raw"), publish.Warehouse(spark, f"{root}/warehouse")
     ingest.load_day(store, AS_OF, *_clean_pull(spark, sf_dir, AS_OF))
     snapshots = history.history_store(spark, f"{root}/history")
-    publish.refresh(store, warehouse, snapshots, niche_size=(1, 10**12))
-    parts = [warehouse.table(name).agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-             for name in publish.MODELS]
-    parts.append(snapshots.read(history.TABLE).agg(F.count("*").alias("rows"))
-                 .select(F.lit(history.TABLE).alias("table_name"), "rows"))
+    control = stored(spark, adapter.control_totals(spark, sf_dir, "o_orderkey % 97 <> 0 AND o_orderkey % 59 <> 0"), "control")
+    try:
+        publish.refresh(store, warehouse, snapshots, control.withColumn("amount", F.col("amount") * 1.05), (1, 10**12))
+    except publish.PublishRefused:
+        refused = warehouse.live_run() is None
+    else:
+        refused = False
+    publish.refresh(store, warehouse, snapshots, control, (1, 10**12))
+    money = {"stg_transactions": "obligation_amount", "fct_obligations": "obligation_amount",
+             "stg_award_details": "base_and_all_options_value", "dim_agencies": "niche_award_amount",
+             "dim_vendors": "niche_award_amount"}
+    tables = {name: warehouse.table(name) for name in publish.MODELS} | {history.TABLE: snapshots.read(history.TABLE)}
+    parts = [rows.agg(F.count("*").alias("rows"), exact_sum(F.col(money.get(name, "award_amount"))).alias("amount"))
+             .select(F.lit(name).alias("table_name"), "rows", "amount") for name, rows in tables.items()]
+    parts.append(spark.range(1).select(F.lit("refused").alias("table_name"), F.lit(int(refused)).cast("bigint").alias("rows"),
+                                       F.lit(None).cast("double").alias("amount")))
     return together(parts)
 
 
@@ -314,6 +340,15 @@ def latest_events_stored(spark, sf_dir):
     return history.vw_award_events(store, since=DAYS[-1])
 
 
+def events_daily_table(spark, sf_dir):
+    """Events stored day by day, the first days once more after the last one."""
+    store = history.history_store(spark, f"{shared_folder(spark)}/history-{uuid.uuid4().hex}")
+    store.replace_days(history.TABLE, snapshot_history(spark, sf_dir), many_days=True)
+    for day in [*DAYS, *DAYS[:2]]:
+        history.append_events(store, day)
+    return history.stored_events(store)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stg_awards_latest": stg_awards_latest,
     "rebuild_past_day": rebuild_past_day,
@@ -330,6 +365,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vendor_share_rank": vendor_share_rank,
     "award_events": award_events_query,
     "latest_events_stored": latest_events_stored,
+    "events_daily_table": events_daily_table,
     "snapshot_history": snapshot_history,
     "running_awards": running_awards,
     "niche_window_filter": niche_window_filter,

@@ -166,7 +166,7 @@ def totals(spark, *rows):
 def test_publish_only_after_every_check(spark, loaded):
     store, warehouse, snapshots = loaded
     with pytest.raises(publish.PublishRefused, match="niche_size_in_range: 1"):
-        publish.refresh(store, warehouse, snapshots)
+        publish.refresh(store, warehouse, snapshots, None, (100, 600))
     assert warehouse.live_run() is None and snapshots.days(history.TABLE) == []
     with pytest.raises(LookupError):
         warehouse.table("fact_awards")
@@ -182,7 +182,7 @@ def test_publish_only_after_every_check(spark, loaded):
         publish.refresh(store, warehouse, snapshots, totals(spark, ("Energy Council", 35000.0 * 1.05)),
                         niche_size=(1, 600))
     assert warehouse.live_run() == run
-    again = publish.refresh(store, warehouse, snapshots, niche_size=(1, 600))
+    again = publish.refresh(store, warehouse, snapshots, None, niche_size=(1, 600))
     assert warehouse.live_run() == again != run
     assert snapshots.read(history.TABLE).count() == 9
 
@@ -194,7 +194,7 @@ def test_raw_tables_at_different_days_are_refused(spark, loaded, tmp_path):
         mixed.replace_days(table, store.read(table))
     mixed.replace_days("raw_awards", store.read("raw_awards").withColumn("snapshot_date", F.lit(d("2023-05-16"))))
     with pytest.raises(publish.PublishRefused, match="different days"):
-        publish.refresh(mixed, warehouse, snapshots, niche_size=(1, 600))
+        publish.refresh(mixed, warehouse, snapshots, None, niche_size=(1, 600))
 
 
 @pytest.mark.parametrize("control, failed, agency", [
@@ -233,6 +233,15 @@ def test_audit_finds_violations(spark):
         "obligations_belong_to_awards": 1, "recompetes_have_details": 1, "recompetes_not_expired": 1}
 
 
+def test_the_run_before_the_live_one_stays_for_its_readers(spark, tmp_path):
+    warehouse = publish.Warehouse(spark, str(tmp_path))
+    for run in ("one", "two", "two", "three"):
+        warehouse.stage(run, "t", spark.range(1))
+        warehouse.publish(run)
+    assert warehouse.live_run() == "three"
+    assert [files.exists(spark, f"{tmp_path}/runs/{run}") for run in ("one", "two", "three")] == [False, True, True]
+
+
 def test_pointer_file_is_replaced_whole(spark, tmp_path):
     path = str(tmp_path / "LIVE")
     for text in ("first run", "second"):
