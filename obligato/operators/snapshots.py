@@ -5,12 +5,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def latest_snapshot(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+def latest_snapshot(raw: DataFrame, as_of: dt.date | None = None, day: dt.date | None = None) -> DataFrame:
     """Rows of the newest ``snapshot_date``, exposed as ``as_of_date``.
 
     ``as_of`` rebuilds a past day: later snapshots are ignored. The day comes from a scalar
-    subquery, so on a day-partitioned table it prunes partitions at run time.
+    subquery, so on a day-partitioned table it prunes partitions at run time. Whoever knows the newest day
+    already, from the store's folder names, gives it as ``day``, and nothing is searched.
     """
+    if day is not None:
+        return raw.where(F.col("snapshot_date") == F.lit(day)).withColumnRenamed("snapshot_date", "as_of_date")
     if as_of is not None:
         raw = raw.where(F.col("snapshot_date") <= F.lit(as_of))
     newest = raw.agg(F.max("snapshot_date")).scalar()

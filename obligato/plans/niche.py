@@ -45,8 +45,9 @@ def int_niche_filter(stg_awards: DataFrame) -> DataFrame:
 def int_recompete_flags(int_niche_filter: DataFrame, stg_award_details: DataFrame) -> DataFrame:
     """Niche awards with expiry status (by end date only) and the option facts of the detail page.
 
-    Both sides hold one row per award (and day, for all days at once) and are hashed by it
-    already, so the join adds no shuffle. An award without an end date stays ``active``.
+    Both sides hold one row per award (and day, for all days at once). Taken straight from staging they are
+    hashed by it already and the join adds no shuffle; stored models are shuffled once more, narrow as
+    they are by then. An award without an end date stays ``active``.
     """
     keys = [c for c in ("as_of_date", "award_key") if c in stg_award_details.columns]
     facts = stg_award_details.select(

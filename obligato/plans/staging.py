@@ -10,9 +10,9 @@ from obligato.functions.text import blank_to_null, matches, trimmed
 from obligato.operators.snapshots import keep_latest, latest_snapshot
 
 
-def stg_awards(raw_awards: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+def stg_awards(raw_awards: DataFrame, as_of: dt.date | None = None, day: dt.date | None = None) -> DataFrame:
     """One row per award. Quality flags are columns; they never drop a row."""
-    return _clean_awards(latest_snapshot(raw_awards, as_of), ["award_key"])
+    return _clean_awards(latest_snapshot(raw_awards, as_of, day), ["award_key"])
 
 
 def every_day_awards(raw_awards: DataFrame) -> DataFrame:
@@ -41,9 +41,9 @@ def _clean_awards(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def stg_transactions(raw_transactions: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+def stg_transactions(raw_transactions: DataFrame, as_of: dt.date | None = None, day: dt.date | None = None) -> DataFrame:
     """One row per contract action. Negative amounts (de-obligations) are kept."""
-    used = latest_snapshot(raw_transactions, as_of)
+    used = latest_snapshot(raw_transactions, as_of, day)
     return used.select(
         "award_key", "award_id", "modification_number",
         (F.col("modification_number") == fixed.BASE_MODIFICATION).alias("is_base_award"),
@@ -61,9 +61,9 @@ def stg_transactions(raw_transactions: DataFrame, as_of: dt.date | None = None)
     )
 
 
-def stg_award_details(raw_award_details: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+def stg_award_details(raw_award_details: DataFrame, as_of: dt.date | None = None, day: dt.date | None = None) -> DataFrame:
     """One row per still-running award, from its detail page."""
-    return _clean_details(latest_snapshot(raw_award_details, as_of).drop("as_of_date"), ["award_key"])
+    return _clean_details(latest_snapshot(raw_award_details, as_of, day).drop("as_of_date"), ["award_key"])
 
 
 def every_day_details(raw_award_details: DataFrame) -> DataFrame:

@@ -43,9 +43,9 @@ class Models:
             case "raw_awards": return adapter.raw_awards(*self._raw)
             case "raw_transactions": return adapter.raw_transactions(*self._raw)
             case "raw_award_details": return adapter.raw_award_details(*self._raw)
-            case "awards": return staging.stg_awards(self.raw_awards)
-            case "transactions": return staging.stg_transactions(self.raw_transactions)
-            case "details": return staging.stg_award_details(self.raw_award_details)
+            case "awards": return staging.stg_awards(self.raw_awards, day=self._raw[2][0])
+            case "transactions": return staging.stg_transactions(self.raw_transactions, day=self._raw[2][0])
+            case "details": return staging.stg_award_details(self.raw_award_details, day=self._raw[2][0])
             case "niche": return niche.int_niche_filter(self.awards)
             case "flags": return niche.int_recompete_flags(self.niche, self.details)
             case "fact": return marts.fact_awards(self.flags)
