@@ -55,12 +55,6 @@ RAW_TABLES = {
     "raw_award_details": RAW_AWARD_DETAILS,
 }
 
-REQUIRED = {
-    "raw_awards": ["snapshot_date", "award_key"],
-    "raw_transactions": ["snapshot_date", "award_key", "action_date"],
-    "raw_award_details": ["snapshot_date", "award_key"],
-}
-
 
 def landed_schema(fields: dict[str, str]) -> T.StructType:
     """JSON read schema for a field map. Leaves are text, so a badly typed value never loses its row."""

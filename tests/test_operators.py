@@ -122,6 +122,16 @@ def test_hot_award_and_sub_agency_are_split(spark, tmp_path, eager_skew_handling
         "in_niche and awarding_sub_agency = 'HOT SUB'").count() > 0
 
 
+def test_rank_of_a_value_that_most_rows_share_is_split(spark, tmp_path, eager_skew_handling):
+    i = F.col("id")
+    spark.range(0, 30000, 1, 12).select(i, F.when(i % 3 > 0, 0.0).otherwise(i.cast("double")).alias("v"),
+                                        F.repeat(F.lit("x"), 50).alias("name")).write.parquet(str(tmp_path / "vendors"))
+    ranked = with_rank_desc(spark.read.parquet(str(tmp_path / "vendors")), "v", "place")
+    assert "skew=true" in final_plan(ranked)
+    # Row 0 has no money either; the 9,999 other rows divisible by three stand before it.
+    assert ranked.where("place = 10000").count() == 20001 and ranked.where("id = 29997").first()["place"] == 1
+
+
 def test_hot_keys_are_counted_before_the_shuffle(spark, tmp_path):
     actions = hot_third(spark, str(tmp_path / "raw"))
     text = plan(ingest.gate_transactions(actions).unionByName(ingest.gate_orphans(actions, actions)))
