@@ -3,9 +3,9 @@
 A k-mer of code points is a closed syncmer if the smallest hash among its inner s-mers lies at its first or
 last place. Whether it is one depends on its own characters only, so equal passages give equal
 anchors wherever they stand, and an edit disturbs only the anchors that it touches. A fingerprint
-holds the ``ANCHORS`` anchors with the smallest hashes (all, if fewer) with their places. Two fingerprints
-are alike as far as the smallest anchors of both together are common and follow the same order in
-both texts.
+holds all anchors of a text, repeated ones too, with their places, about one in eight code points
+whatever the length. Two fingerprints are alike as far as their anchors are common and follow the same
+order in both texts; the n-th place of a hash in one text is matched with its n-th place in the other.
 """
 
 from bisect import bisect_left
@@ -16,9 +16,11 @@ import xxhash
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
-from obligato.llm.common import arrow_schema, ddl, ids_and_texts, map_rows, sha256, slices
+from obligato.llm.common import arrow_schema, ddl, ids_and_texts, sha256, slices
 
-K, S, ANCHORS = 24, 9, 128
+K, S = 24, 9
+#: Characters of fingerprints after which a task hands its rows on.
+BATCH_CHARS = 1 << 24
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 _LAST_ID = -(1 << 63)
 
@@ -67,11 +69,8 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fingerprint(text: str) -> np.ndarray:
-    """(anchors, 2): hash and place by place, the first place of each of the smallest hashes."""
-    hashes, places = anchors(text)
-    smallest, first = np.unique(hashes, return_index=True)
-    first = np.sort(first[:ANCHORS])
-    return np.stack([hashes[first], places[first]], axis=1)
+    """(anchors, 2): hash and place of all anchors, by place."""
+    return np.stack(anchors(text), axis=1)
 
 
 def as_string(print_: np.ndarray) -> str:
@@ -82,27 +81,42 @@ def from_string(print_: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(print_), ">u4").astype(np.uint32).reshape(-1, 2)
 
 
+def _numbered(print_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each anchor's hash and its number among those of the same hash as one key, ascending, and the anchors' indexes."""
+    order = np.argsort(print_[:, 0], kind="stable")
+    hashes = print_[order, 0].astype(np.uint64)
+    at = np.arange(len(hashes))
+    first = np.maximum.accumulate(np.where(np.concatenate(([True], hashes[1:] != hashes[:-1])), at, 0)) if len(at) else at
+    return hashes << np.uint64(32) | (at - first).astype(np.uint64), order
+
+
+def _in_order(places: np.ndarray) -> int:
+    """Length of the longest increasing subsequence of distinct values."""
+    if (places[1:] > places[:-1]).all():
+        return len(places)
+    ends: list[int] = []  # of increasing runs of places, by length
+    for p in places.tolist():
+        i = bisect_left(ends, p)
+        ends[i:i + 1] = [p]
+    return len(ends)
+
+
+def _likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    (keys_a, order_a), (keys_b, order_b) = a, b
+    if not len(keys_a) or not len(keys_b):
+        return float(len(keys_a) == len(keys_b))
+    _, in_a, in_b = np.intersect1d(keys_a, keys_b, assume_unique=True, return_indices=True)
+    matched = order_b[in_b][np.argsort(order_a[in_a])]
+    j = _in_order(matched) / (len(keys_a) + len(keys_b) - len(matched))
+    return 2 * j / (1 + j)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """0 to 1: the share of the two texts' anchors, estimated from the smallest of both, that match in order (Dice).
+    """0 to 1: the share of all anchors of the two texts that match in order (Dice).
 
     Two empty texts are alike (1); an empty and another text are not (0).
     """
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    together = np.union1d(a[:, 0], b[:, 0])
-    # With full fingerprints only the smallest hashes of both are known to be seen from both sides.
-    if len(a) == ANCHORS or len(b) == ANCHORS:
-        limit = min(x[:, 0].max() for x in (a, b) if len(x) == ANCHORS)
-        together = together[together <= limit]
-    place = dict(zip(b[:, 0].tolist(), b[:, 1].tolist()))
-    ends: list[int] = []  # of increasing runs of places, by length
-    known = set(together.tolist())
-    for h in a[:, 0].tolist():
-        if h in known and (p := place.get(h)) is not None:
-            i = bisect_left(ends, p)
-            ends[i:i + 1] = [p]
-    j = len(ends) / len(together)
-    return 2 * j / (1 + j)
+    return _likeness(_numbered(a), _numbered(b))
 
 
 def edited(text: str, following: str) -> str:
@@ -113,10 +127,22 @@ def edited(text: str, following: str) -> str:
 
 def fingerprint_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint of every whole text. Null and empty texts have the empty fingerprint; null ids and repeated rows stay."""
-    def make():
-        return lambda rows: {"doc_id": rows["doc_id"], "fingerprint": [as_string(fingerprint(t or "")) for t in rows["text"]]}
+    schema = {"doc_id": "long", "fingerprint": "string"}
+    out = arrow_schema(schema)
+
+    def run(batches):
+        for batch in slices(batches):
+            ids, prints, chars = [], [], 0
+            for i, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text"))):
+                ids.append(i)
+                prints.append(as_string(fingerprint(t or "")))
+                chars += len(prints[-1])
+                if chars > BATCH_CHARS:
+                    yield pa.RecordBatch.from_pydict({"doc_id": ids, "fingerprint": prints}, schema=out)
+                    ids, prints, chars = [], [], 0
+            yield pa.RecordBatch.from_pydict({"doc_id": ids, "fingerprint": prints}, schema=out)
 
-    return map_rows(ids_and_texts(docs, doc_id, text), {"doc_id": "long", "fingerprint": "string"}, make)
+    return ids_and_texts(docs, doc_id, text).mapInArrow(run, ddl(schema))
 
 
 def in_descending_parts(docs: DataFrame, parts: int) -> DataFrame:
@@ -159,24 +185,32 @@ def compare_with_edits(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     out = arrow_schema(schema)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    def record(rows):
+        columns = map(list, zip(*rows)) if rows else ([] for _ in schema)
+        return pa.RecordBatch.from_pydict(dict(zip(schema, columns)), schema=out)
+
     def run(batches):
         held = None  # the row that still waits for its successor
         for batch in slices(batches):
-            rows = []
+            rows, chars = [], 0
             for i, t, extra in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "extra"))):
                 t = t or ""
                 own = fingerprint(t)
+                keys = _numbered(own)
                 if held:
-                    last_id, last_text, last = held
+                    last_id, last_text, last, last_keys = held
                     changed = edited(last_text, t)
                     new = fingerprint(changed)
                     rows.append((last_id, len(last_text), sha256(changed.encode()), as_string(last), as_string(new),
-                                 likeness(last, new), likeness(last, own)))
-                held = None if extra else (i, t, own)
+                                 _likeness(last_keys, _numbered(new)), _likeness(last_keys, keys)))
+                    chars += 16 * (len(last) + len(new))
+                    if chars > BATCH_CHARS:
+                        yield record(rows)
+                        rows, chars = [], 0
+                held = None if extra else (i, t, own, keys)
                 if extra:  # only the first of the copied rows follows the range
                     break
-            columns = map(list, zip(*rows)) if rows else ([] for _ in schema)
-            yield pa.RecordBatch.from_pydict(dict(zip(schema, columns)), schema=out)
+            yield record(rows)
 
     rows = ids_and_texts(docs, doc_id, text)
     return in_descending_parts(rows, parts).drop("part").mapInArrow(run, ddl(schema))

@@ -168,6 +168,23 @@ def test_syncmers_are_closed_and_context_free():
     assert syncmers.likeness(syncmers.fingerprint(text), syncmers.fingerprint(text)) == 1
 
 
+def test_fingerprints_hold_every_anchor():
+    rng = np.random.default_rng(4)
+    words = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(n))
+    shared, a, b = words(100), words(3000), words(3000)
+    print_ = syncmers.fingerprint(a)
+    hashes, places = syncmers.anchors(a)
+    assert len(print_) > 2000 and (print_[:, 0] == hashes).all() and (print_[:, 1] == places).all()
+    assert (syncmers.from_string(syncmers.as_string(print_)) == print_).all()
+    # A short passage that two long texts share is found, and counted exactly.
+    x, y = (syncmers.fingerprint(t) for t in (f"{a} {shared} {words(500)}", f"{words(700)} {shared} {b}"))
+    common = len(set(x[:, 0].tolist()) & set(y[:, 0].tolist()))
+    assert common >= 80 and abs(syncmers.likeness(x, y) - 2 * common / (len(x) + len(y))) < 1e-9
+    # Repeats count as often as both texts have them.
+    once, twice = syncmers.fingerprint(f"{shared} "), syncmers.fingerprint(f"{shared} " * 2)
+    assert abs(syncmers.likeness(once, twice) - 2 * len(once) / (len(once) + len(twice))) < 1e-9
+
+
 def brute_components(prints, d):
     label = {f: f for f in prints}
     for _ in prints:
