@@ -143,11 +143,13 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP
 
     ``queries`` are rows of the same columns (default: ids divisible by ``QUERY_EVERY``). A query's own id is no
     candidate. Null, zero and non-finite vectors and null ids take no part, neither as queries nor as
-    candidates; fewer candidates than ``top`` give fewer ranks; an id that is repeated is one candidate
-    per distinct vector; vectors of different lengths raise an error; no rows give no rows.
+    candidates; fewer candidates than ``top`` give fewer ranks. Repeated rows count once; an id with several
+    vectors, as a query or as a candidate, is one id with the best score of them. Vectors of different lengths
+    raise an error; no rows give no rows.
     """
     rows = usable(vectors, vec_id, embedding)
     asked = rows.where(F.col("vec_id") % QUERY_EVERY == 0) if queries is None else usable(queries, vec_id, embedding)
+    asked = asked.distinct()
     # The smallest ids of equal vectors: as many as could be ranked, and one more for the query itself.
     # The limit on the rank acts before the shuffle too, so a very common vector sends a few rows per task.
     firsts = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
@@ -185,12 +187,22 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP
         for query, x, js in zip(asked_here["query_id"], q, asked_here["js"]):
             chosen = np.concatenate([rows_of.get(int(cell), np.zeros(0, np.int64)) for cell in js])
             scores = np.einsum("ij,j->i", v[chosen], x) / (norms[chosen] * np.sqrt((x * x).sum()))
-            # One entry may be the query's own; ties at the edge are all kept.
-            edge = -np.partition(-scores, top)[top] if len(scores) > top + 1 else -np.inf
-            for k in np.flatnonzero(scores >= edge):
-                found += [(query, i, scores[k]) for i in ids[chosen[k]] if i != query]
+            wanted_here = top + 1  # one entry may be the query's own
+            while True:
+                edge = -np.partition(-scores, wanted_here - 1)[wanted_here - 1] if len(scores) > wanted_here else -np.inf
+                best: dict[int, float] = {}  # by id; ties at the edge are all kept
+                for k in np.flatnonzero(scores >= edge).tolist():
+                    for i in ids[chosen[k]]:
+                        if i != query:
+                            best[i] = max(best.get(i, -np.inf), scores[k])
+                if len(best) >= top or edge == -np.inf:
+                    break
+                wanted_here *= 4  # an id with many vectors took the places of others
+            found += [(query, i, s) for i, s in sorted(best.items(), key=lambda r: (-r[1], r[0]))[:top]]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     found = routed.groupBy("i", "block").cogroup(blocked.groupBy("i", "block")).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    # Blocks and a query's several vectors may find an id more than once.
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

@@ -109,6 +109,18 @@ def test_neighbours_of_odd_vectors(spark):
     assert ann.nearest(vectors.limit(0)).count() == 0
 
 
+def test_neighbours_of_repeated_queries_and_ids(spark):
+    near = lambda i: [float(np.cos(i / 100)), float(np.sin(i / 100))]
+    rows = [(i, near(i)) for i in range(1, 12)] + 3 * [(0, near(0))]
+    # Id 50 asks with two vectors; id 99 stands beside both of id 0 and id 50 with many.
+    rows += [(50, near(300)), (50, near(310)), (60, near(299))] + [(99, near(-k / 100)) for k in range(1, 9)]
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), share=1.0).orderBy("query_id", "rank").collect():
+        assert r["rank"] == len(got.setdefault(r.query_id, [])) + 1
+        got[r.query_id].append(r.vec_id)
+    assert got == {0: [99, 1, 2, 3, 4], 50: [60, 11, 10, 9, 8]}
+
+
 def base_spans(t):
     assign = re.finditer(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t, re.I | re.A)
     return ([(m.start(), 0, m.end()) for m in assign if len(m[2]) >= 12]
