@@ -21,8 +21,11 @@ from obligato.llm.common import materialized
 SAMPLE, PROBES, TARGET, ROUNDS = 8192, 128, 0.97, 8
 PER_CELL, MAX_CENTROIDS = 12, 64
 TOP, QUERY_EVERY = 5, 50
-#: Entries of one first-half centroid that a task holds at once; more are dealt into blocks.
+#: Entries of one first-half centroid that a task holds at once, on average (twice as many to odds below 1e-300); more are dealt into blocks by hash.
 BLOCK = 4096
+#: Queries that a task holds at once; they are dealt by hash into blocks of half as many on average, which
+#: leaves more than this many in one to odds below 1e-300.
+QUERY_BLOCK = 4096
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -149,7 +152,8 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP
     """
     rows = usable(vectors, vec_id, embedding)
     asked = rows.where(F.col("vec_id") % QUERY_EVERY == 0) if queries is None else usable(queries, vec_id, embedding)
-    asked = asked.distinct()
+    asked = materialized(asked.distinct())
+    query_blocks = max(1, -(-2 * asked.count() // QUERY_BLOCK))
     # The smallest ids of equal vectors: as many as could be ranked, and one more for the query itself.
     # The limit on the rank acts before the shuffle too, so a very common vector sends a few rows per task.
     firsts = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
@@ -173,9 +177,11 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP
 
     blocks = {i: int(-(-n // BLOCK)) for i, n in enumerate(index.counts.sum(1).tolist()) if n}
     block_count = F.element_at(F.array(*[F.lit(blocks.get(i, 1)) for i in range(index.n)]), F.col("i") + 1)
+    query_block = F.pmod(F.xxhash64("query_id", "q"), F.lit(query_blocks)).cast("int")
     routed = (asked.mapInPandas(visits, "query_id long, q array<double>, i int, js array<int>")
-              .withColumn("block", F.explode(F.sequence(F.lit(0), block_count - 1))))
-    blocked = cells.withColumn("block", F.pmod(F.xxhash64("v"), block_count).cast("int"))
+              .withColumns({"block": F.explode(F.sequence(F.lit(0), block_count - 1)), "query_block": query_block}))
+    blocked = cells.withColumn("block", F.pmod(F.xxhash64("v"), block_count).cast("int")).withColumn(
+        "query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
 
     def rerank(key, asked_here, entries_here):
         if not len(asked_here) or not len(entries_here):
@@ -201,7 +207,8 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP
             found += [(query, i, s) for i, s in sorted(best.items(), key=lambda r: (-r[1], r[0]))[:top]]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    found = routed.groupBy("i", "block").cogroup(blocked.groupBy("i", "block")).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    group = ["i", "block", "query_block"]
+    found = routed.groupBy(*group).cogroup(blocked.groupBy(*group)).applyInPandas(rerank, "query_id long, vec_id long, score double")
     # Blocks and a query's several vectors may find an id more than once.
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

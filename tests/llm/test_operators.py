@@ -121,6 +121,23 @@ def test_neighbours_of_repeated_queries_and_ids(spark):
     assert got == {0: [99, 1, 2, 3, 4], 50: [60, 11, 10, 9, 8]}
 
 
+def test_neighbours_are_the_same_by_blocks(spark, monkeypatch):
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    whole = Counter(map(tuple, ann.nearest(vectors, vectors.where("vec_id < 60")).collect()))
+    held, groups = [], type(spark.range(1).groupBy("id").cogroup(spark.range(1).groupBy("id")))
+    apply = groups.applyInPandas
+
+    def counted(self, work, schema):
+        held.extend((r.n for r in self._gd1._df.groupBy("i", "block", "query_block").count().withColumnRenamed("count", "n").collect()))
+        return apply(self, work, schema)
+
+    monkeypatch.setattr(groups, "applyInPandas", counted)
+    monkeypatch.setattr(ann, "BLOCK", 32)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 16)
+    assert Counter(map(tuple, ann.nearest(vectors, vectors.where("vec_id < 60")).collect())) == whole
+    assert held and max(held) <= 16
+
+
 def base_spans(t):
     assign = re.finditer(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", t, re.I | re.A)
     return ([(m.start(), 0, m.end()) for m in assign if len(m[2]) >= 12]
