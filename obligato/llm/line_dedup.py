@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from obligato.llm.common import arrow_schema, ddl, ids_and_texts, map_rows, materialized, sha256, slices
 
@@ -106,28 +106,40 @@ def repeats_filter(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int | None
     return twice
 
 
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
 def lines_to_drop(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS, bits: int | None = None) -> DataFrame:
-    """doc_id, keys (MD5 digests of the line keys that the document loses), of rows (doc_id, text)."""
+    """doc_id, digest, keys (MD5 digests of the line keys that rows of this id and text lose), of rows (doc_id, text).
+
+    A row's keys are gathered by its id and its text's digest (``text_digest``), so an array never holds more
+    than one text's keys, however many rows have no id or the same one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(repeats_filter(docs, min_chars, bits))
 
     def make():
         twice = shared.value
 
         def work(rows):
-            ids, keys = [], []
-            for i, text in zip(rows["doc_id"], rows["text"]):
+            ids, digests, keys = [], [], []
+            for i, text, digest in zip(rows["doc_id"], rows["text"], rows["digest"]):
                 own = list(long_keys(text, min_chars))
                 keys += (found := [k.decode() for k, hit in zip(own, _has(twice, _places(own, 8 * len(twice)))) if hit] if own else [])
                 ids += [i] * len(found)
-            return {"doc_id": ids, "key": keys}
+                digests += [digest] * len(found)
+            return {"doc_id": ids, "digest": digests, "key": keys}
 
         return work
 
-    suspects = materialized(map_rows(docs, {"doc_id": "long", "key": "string"}, make))
-    repeats = suspects.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_documents)
+    rows = docs.select("doc_id", "text", text_digest(F.col("text")).alias("digest"))
+    suspects = materialized(map_rows(rows, {"doc_id": "long", "digest": "binary", "key": "string"}, make))
+    # An id is one document however many rows it has; a row without an id is a document by itself.
+    n = F.count_distinct("doc_id") + F.count_if(F.col("doc_id").isNull())
+    repeats = suspects.groupBy("key").agg(n.alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_documents)
     # Stored, so that the join takes both sides straight from a shuffle and a very common line can be split.
     lost = suspects.join(materialized(repeats), "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    return lost.groupBy("doc_id").agg(F.collect_set(F.unhex(F.md5("key"))).alias("keys"))
+    return lost.groupBy("doc_id", "digest").agg(F.collect_set(F.unhex(F.md5("key"))).alias("keys"))
 
 
 def without(text: str | None, lost: list[bytes] | None) -> tuple[int, int, str]:
@@ -141,15 +153,17 @@ def without(text: str | None, lost: list[bytes] | None) -> tuple[int, int, str]:
 
 
 def _with_lost_keys(docs: DataFrame, rows: DataFrame, **options) -> DataFrame:
-    lost = lines_to_drop(rows, **options).select(F.col("doc_id").alias("_id"), F.col("keys").alias("_keys"))
-    return docs.join(lost, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
+    # Stored, so that the join can split the rows of an id and text that very many rows repeat.
+    lost = materialized(lines_to_drop(rows, **options)).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.col("keys").alias("_keys"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_digest(F.col("text")) == F.col("_digest"))
+    return docs.join(lost, same, "left").drop("_id", "_digest")
 
 
 def dedup_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (the lines that stay), one row per input row.
 
-    Null and empty texts are one empty line. A repeated row counts as one more document, and rows of the
-    largest id all keep the line; rows without an id count as documents but keep a line only if no row
+    Null and empty texts are one empty line. Rows of one id are one document, and rows of the largest id all
+    keep the line; each row without an id counts as a document but keeps a line only if no row
     with an id has it. Other columns are not read; texts may be of any length; no rows give no rows.
     """
     rows = ids_and_texts(docs, doc_id, text)

@@ -305,6 +305,19 @@ def test_lines(docs, odd, none, bits):
     assert {r.doc_id: (r.text, r.n_chars) for r in again.collect() if r.doc_id not in (1, None)} == texts
 
 
+def test_lines_count_documents_and_gather_by_row(spark):
+    two, three, own = (f"a line that {n} documents hold" for n in ("two", "three", "some"))
+    rows = [(7, f"{two}\n{three}"), (7, f"{two}\n{three}"), (8, f"{two}\n{three}"), (9, three)]
+    rows += [(None, f"{three}\n{n}\n{own} {n % 2}") for n in range(40)] + [(10, f"{own} 0"), (11, f"{own} 1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, line_dedup.dedup_lines(docs).collect()))
+    want = Counter({(7, 2, 1, two): 2, (8, 2, 1, two): 1, (9, 1, 0, three): 1, (10, 1, 0, f"{own} 0"): 1, (11, 1, 0, f"{own} 1"): 1})
+    assert got == want + Counter((None, 3, 2, str(n)) for n in range(40))
+    # No array holds the keys of more than one text, though 40 rows have no id.
+    lost = line_dedup.lines_to_drop(docs).where("doc_id IS NULL").collect()
+    assert len(lost) == 40 and all(len(r["keys"]) == 2 for r in lost)
+
+
 def test_language_of_held_out_documents(spark, odd, none):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.learn(documents)
