@@ -2,9 +2,10 @@
 
 Two first-order character chains are trained from labelled samples: random strings (those that the
 patterns found, and generated ones in hexadecimal, base-64 and alphanumeric letters) and ordinary identifiers
-(words, numbers and paths of the texts that no pattern found). A run of identifier characters
-whose log-likelihood ratio favours the random chain by ``MIN_EVIDENCE`` is a secret of kind ``random``,
-unless it overlaps a pattern's span. The models are a table of 128 x 128 ratios, a literal of the plan.
+(words, numbers and paths of the texts that no pattern found). Runs of identifier characters outside
+the patterns' spans are searched for stretches whose log-likelihood ratio favours the random chain by
+``MIN_EVIDENCE``; each, widened to the separators ``/ = _ -`` around it, is a secret of kind ``random``.
+The models are a table of 128 x 128 ratios, a literal of the plan.
 """
 
 import json
@@ -19,9 +20,10 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"  # leftmost runs are maximal, so this finds the runs of [0-9a-f]+ that are long enough
 ASSIGN_VALUE_CHARS, ACCESS_CHARS = 12, 18
 
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+#: Shorter runs have too few steps for the evidence.
+RUN = r"[A-Za-z0-9+/_=-]{8,}"
 WORD = r"[A-Za-z0-9+/_=-]{6,}"
-#: Evidence in natural-log units: a run must be e^12 times likelier under the random chain.
+#: Evidence in natural-log units: a stretch must be e^12 times likelier under the random chain.
 MIN_EVIDENCE = 12.0
 SAMPLE_DOCUMENTS, GENERATED = 1500, 1500
 _ALPHABET = 65  # letters of either case, digits and + / _ = - less the padding sign, for smoothing
@@ -104,17 +106,104 @@ def train(docs: DataFrame) -> list[float]:
     return ratios
 
 
+def _outside(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans (sorted by start; they may overlap)."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(state: Column, s: Column) -> Column:
+        end = F.greatest(state["at"], s["end"])
+        gap = F.greatest(s["start"], state["at"])
+        out = F.concat(state["out"], F.substr(text, state["at"] + 1, gap - state["at"]), F.repeat(F.lit(" "), end - gap))
+        return F.struct(end.alias("at"), out.alias("out"))
+
+    masked = F.aggregate(spans, start, step, lambda state: F.concat(state["out"], F.substr(text, state["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, masked).otherwise(text)
+
+
+def _has_stretch(steps: Column, table: Column) -> Column:
+    """Whether any stretch of steps (maximum sum) has the evidence."""
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+
+    def step(state: Column, s: Column) -> Column:
+        total = F.greatest(state["sum"] + F.element_at(table, s + 1), F.lit(0.0))
+        return F.struct(total.alias("sum"), F.greatest(state["best"], total).alias("best"))
+
+    return F.aggregate(steps, start, step, lambda state: state["best"] >= MIN_EVIDENCE)
+
+
+def _stretches(steps: Column, table: Column) -> Column:
+    """Start and end (characters of the run) of all stretches with the evidence, apart from each other.
+
+    A stretch ends at its best sum, once the sum has fallen to 0 or by as much as the evidence asks for.
+    """
+    none = F.array().cast(_SPAN)
+    start = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("sum"), F.lit(0).alias("start"), F.lit(0.0).alias("best"), F.lit(0).alias("end"), none.alias("found"))
+
+    def found(state: Column) -> Column:
+        own = F.array(F.struct(state["start"].alias("start"), state["end"].alias("end")))
+        return F.when(state["best"] >= MIN_EVIDENCE, F.concat(state["found"], own)).otherwise(state["found"])
+
+    def step(state: Column, s: Column) -> Column:
+        total = state["sum"] + F.element_at(table, s + 1)
+        over = (total <= 0) | (total <= state["best"] - MIN_EVIDENCE)
+        better = total > state["best"]
+        return F.struct(
+            (state["at"] + 1).alias("at"), F.when(over, 0.0).otherwise(total).alias("sum"),
+            F.when(over, state["at"] + 1).otherwise(state["start"]).alias("start"),
+            F.when(over, 0.0).when(better, total).otherwise(state["best"]).alias("best"),
+            F.when(better, state["at"] + 2).otherwise(state["end"]).alias("end"),
+            F.when(over, found(state)).otherwise(state["found"]).alias("found"))
+
+    return F.aggregate(steps, start, step, found)
+
+
+def _widened(run: Column, s: Column) -> Column:
+    """The stretch with the whole of each piece between separators of which it holds half or more, and a run's padding."""
+    inner, rest = F.substr(run, s["start"] + 1, s["end"] - s["start"]), F.substr(run, s["end"] + 1, F.length(run))
+    length = lambda text, pattern, group=0: F.length(F.regexp_extract(text, pattern, group))
+    before, first = length(F.substr(run, F.lit(1), s["start"]), "[^/=_-]*$"), length(inner, "^[^/=_-]*")
+    last, after, padding = length(inner, "[^/=_-]*$"), length(rest, "^[^/=_-]*"), length(rest, "^[^/=_-]*(=*)$", 1)
+    single = first == F.length(inner)
+    start = F.when(single | (first >= before), s["start"] - before).otherwise(s["start"] + first + 1)
+    end = F.when(single | (last >= after), s["end"] + after + padding).otherwise(s["end"] - last - 1)
+    return F.when(start < end, F.struct(start.alias("start"), end.alias("end"))).otherwise(s)
+
+
+def _merged(spans: Column) -> Column:
+    """Spans sorted by start, those that overlap as one."""
+    def step(done: Column, s: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        both = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(both))
+        return F.when(F.size(done) == 0, F.array(s)).when(s["start"] < last["end"], joined).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(F.sort_array(spans), F.array().cast(_SPAN), step)
+
+
 def with_spans(rows: DataFrame, ratios: list[float]) -> DataFrame:
     """Rows (with ``t``) and their spans of all kinds: assign, access, hex, random."""
     rows = with_base_spans(rows).drop("_values")
-    t, table = F.col("t"), F.from_json(F.lit(json.dumps(ratios)), "array<double>")
-    rows = rows.withColumn("_runs", _found(t, RUN))
-    evidence = lambda run: F.aggregate(_steps(run), F.lit(0.0), lambda total, step: total + F.element_at(table, step + 1))
-    base = F.concat("assign", "access", "hex")
-    rows = rows.withColumns({"_placed": _placed(t, RUN, F.col("_runs")), "_evidence": F.transform("_runs", evidence)})
-    random = F.filter("_placed", lambda s, i: (F.get("_evidence", i) >= MIN_EVIDENCE) & ~F.exists(
-        base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return rows.withColumn("random", random).drop("_runs", "_placed", "_evidence")
+    table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
+    rows = rows.withColumn("_outside", _outside(F.col("t"), F.sort_array(F.concat("assign", "access", "hex"))))
+    rows = rows.withColumn("_runs", _found(F.col("_outside"), RUN))
+    # Of each run, what lies before it; only runs with a stretch are kept apart, so that long texts stay cheap.
+    gaps = F.transform(F.split("_outside", RUN, -1), lambda piece: F.length(piece))
+    rows = rows.withColumn("_items", F.zip_with(F.slice(gaps, F.lit(1), F.size("_runs")), "_runs", lambda gap, run: F.struct(
+        gap.alias("gap"), F.length(run).alias("length"), F.when(_has_stretch(_steps(run), table), run).alias("run"))))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,run:string>>").alias("runs"))
+
+    def step(state: Column, item: Column) -> Column:
+        at = state["at"] + item["gap"]
+        own = F.array(F.struct(at.alias("start"), item["run"].alias("run")))
+        return F.struct((at + item["length"]).alias("at"), F.when(item["run"].isNull(), state["runs"]).otherwise(F.concat(state["runs"], own)).alias("runs"))
+
+    rows = rows.withColumn("_hits", F.aggregate("_items", start, step, lambda state: state["runs"]))
+
+    def spans(hit: Column) -> Column:
+        own = _merged(F.transform(_stretches(_steps(hit["run"]), table), lambda s: _widened(hit["run"], s)))
+        return F.transform(own, lambda s: F.struct((s["start"] + hit["start"]).alias("start"), (s["end"] + hit["start"]).alias("end")))
+
+    return rows.withColumn("random", F.flatten(F.transform("_hits", spans))).drop("_outside", "_runs", "_items", "_hits")
 
 
 def in_order(*kinds: str) -> Column:

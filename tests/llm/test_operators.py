@@ -170,6 +170,23 @@ def test_random_runs_are_secrets_and_words_are_not(spark, docs):
     assert redacted[0] == ("see [SECRET] here", 17) and redacted[len(random)][0] == f"see {plain[0]} here"
 
 
+def test_random_stretches_within_runs_and_short_ones(spark, docs):
+    short, key, other, word = "q7Zp0XvK2mB9tR", "q7Zp0XvK2mB9tR4wYc8LdN1s", "Hk3VbX90TzQw5RjN8mPe2LcU", "thanonontionieranonthereand"
+    hex_ = "0123456789abcdef0123"
+    cases = [(short, [short]), (f"{word}/{key}", [key]), (f"{key}_{word}", [key]), (f"{word}-{key}/{word}", [key]),
+             (f"{key}/{word}/{other}", [key, other]), (f"{hex_}/{key}", [key]), (word, []), (f"{word}/{word}", []), ("a_b-c/d=e", [])]
+    rows = spark.createDataFrame([(i, f"see {w} here") for i, (w, _) in enumerate(cases)], "doc_id long, text string")
+    ratios = secrets.train(docs)
+    for r in secrets.scan(rows, ratios).collect():
+        run, keys = cases[r.doc_id]
+        got = [s for s in r.spans.split(",") if s.startswith("random")]
+        assert got == [f"random:{4 + run.index(k)}:{4 + run.index(k) + len(k)}" for k in keys], run
+    # No ordinary text gains a span, however long it is.
+    assert secrets.scan(spark.createDataFrame([(1, "ordinary " * 30_000)], "doc_id long, text string"), ratios).first().spans == ""
+    texts = {r.doc_id: r.text for r in secrets.redact(rows, ratios).collect()}
+    assert texts[1] == f"see {word}/[SECRET] here" and texts[4] == f"see [SECRET]/{word}/[SECRET] here"
+
+
 def test_syncmers_follow_the_next_document(docs, odd, none):
     rows = both(docs, odd)
     order = sorted(pairs(rows), key=lambda r: (-(r[0] if r[0] is not None else -1 << 63), r[1]))
