@@ -2,7 +2,7 @@
 
 import uuid
 
-from obligato.llm import ann, bpe, language, line_dedup, packing, secrets, simhash, syncmers, token_counts, token_files
+from obligato.llm import alignment, ann, bpe, language, line_dedup, packing, secrets, simhash, syncmers, token_counts, token_files
 from obligato.llm.common import shared_folder, table
 
 
@@ -49,9 +49,14 @@ def op10_prefix_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    return alignment.Alignment(table(spark, sf_dir, "documents")).documents()
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_roundtrip, op2_multi_index_neighbours, op3_secret_scan, op4_syncmer_fingerprints, op5_simhash_components,
-    op6_token_files, op7_line_dedup, op8_language_id, op9_cutting_stock_packing, op10_prefix_token_counts)}
+    op6_token_files, op7_line_dedup, op8_language_id, op9_cutting_stock_packing, op10_prefix_token_counts,
+    op11_tokenizer_alignment)}
 
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
