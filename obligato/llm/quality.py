@@ -2,12 +2,12 @@
 
 A text is the set of its hashed character n-grams, and of the n-grams of its words' repetition (does a word stand twice
 in a row, and how do such places follow each other). Each n-gram's indicator is scaled by the logarithm of how much
-more often it stands in good than in bad labelled texts (counted over all rows to learn from), the vectors are
+more often it stands in good than in bad labelled texts, the vectors are
 brought to length one, and a linear hinge-loss model is fitted to them by dual coordinate descent. A logistic curve
 through margins of rows that the model has not seen turns margins into probabilities.
 
-The counts are over all rows to learn from. The hinge-loss model is fitted on about ``SAMPLE`` rows of each
-class, taken by hash; it is the only thing that is bounded.
+The model learns from about ``SAMPLE`` labelled documents of each class, drawn by hash; this sample is the only thing that
+is bounded. Every document is scored by its whole text.
 """
 
 from dataclasses import dataclass
@@ -16,7 +16,7 @@ from operator import eq
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from obligato.llm.common import arrow_schema, ddl, map_rows, slices
+from obligato.llm.common import map_rows
 
 #: N-grams of two to four characters, hashed into so many buckets. The last bucket stands for every text alike, the ones
 #: before it for the repetition of up to four pairs of words.
@@ -26,8 +26,8 @@ _REPEATS = BUCKETS - 1 - (2 << PAIRS)
 STRETCH = 1 << 20
 SAMPLE, COST, EPOCHS, TOLERANCE = 2500, 1.0, 20, 0.05
 THRESHOLD = 0.3
-#: One row in so many of the sample places the logistic curve instead of fitting the model.
-CURVE = 5
+#: The logistic curve is placed by margins of rows that a model has not seen: the sample is fitted without each of so many parts.
+PARTS = 5
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # a fixed value: the odd multiplier of the hash
 _BITS = np.uint64(64 - 18)
@@ -80,55 +80,41 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(found) + self.middle, -500, 500))))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
-    """(text, good, draw) of all rows to learn from, in ids that are not held out; ``draw`` is an even number below 1.
+def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, *, doc_id: str = "doc_id", text: str = "text",
+             label: str = "quality") -> tuple[DataFrame, dict[bool, int]]:
+    """(text, good, draw) of about ``sample`` labelled ids of each class, and how many ids each class has.
 
-    An id that is labelled more than once has the label of most of its labels, a good one where they are equal;
-    null labels and null ids are not used.
+    An id that is labelled more than once has the label of most of its labels, a good one where they are equal; null labels,
+    null ids and held-out ids are not used. Ids are drawn by their hash. An id that stands in several rows gives one text, the
+    least. The ids drawn are few, whatever the tables hold, so they are broadcast and no other text is shuffled.
     """
-    known = labels.select(F.col(doc_id).cast("long").alias("_id"), F.col(label).cast("double").alias("_label")).where("_label IS NOT NULL")
-    known = known.groupBy("_id").agg((F.avg("_label") >= 0.5).alias("good"))
-    used = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text")).where(~held_out(F.col("_id")))
-    draw = F.pmod(F.xxhash64("_id", "text", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return used.join(known, "_id").select("text", "good", draw.alias("draw"))
-
-
-def _log_count_ratios(rows: DataFrame) -> tuple[np.ndarray, int, int]:
-    """Per bucket, log of its share among good texts over that among bad ones; the numbers of good and bad texts.
-
-    Every task counts its rows into two numbers per bucket, so that at most ``BUCKETS`` rows per task are shuffled.
-    """
-    kinds = {"bucket": "int", "good": "long", "bad": "long"}
-    schema = arrow_schema(kinds)
-
-    def count(batches):
-        import pyarrow as pa
-
-        ngrams, counts = Ngrams(), np.zeros((2, BUCKETS), np.int64)
-        for part in slices(batches):
-            for text, good in zip(part.column("text").to_pylist(), part.column("good").to_pylist()):
-                counts[int(good)][ngrams(text)] += 1
-        seen = np.flatnonzero(counts.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen.astype(np.int32)), pa.array(counts[1][seen]), pa.array(counts[0][seen])], schema=schema)
-
-    total = rows.select("text", "good").mapInArrow(count, ddl(kinds)).groupBy("bucket").agg(
-        F.sum("good").alias("good"), F.sum("bad").alias("bad")).toPandas()
-    good, bad = np.ones(BUCKETS), np.ones(BUCKETS)
-    good[total["bucket"]] += total["good"]
-    bad[total["bucket"]] += total["bad"]
-    # The last bucket is every text's: it counts the texts.
-    n_good, n_bad = int(good[-1] - 1), int(bad[-1] - 1)
-    ratios = np.log(good / good.sum()) - np.log(bad / bad.sum())
+    known = labels.select(F.col(doc_id).cast("long").alias("_id"), F.col(label).cast("double").alias("_label"))
+    known = known.where(F.col("_label").isNotNull() & ~held_out(F.col("_id"))).groupBy("_id").agg((F.avg("_label") >= 0.5).alias("good"))
+    many = {False: 0, True: 0} | {r["good"]: r["count"] for r in known.groupBy("good").count().collect()}
+    draw = F.pmod(F.xxhash64("_id", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    part = F.when(F.col("good"), F.lit(sample / max(many[True], 1))).otherwise(F.lit(sample / max(many[False], 1)))
+    drawn = known.withColumn("draw", draw).where(F.col("draw") < part)
+    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("text"))
+    rows = texts.join(F.broadcast(drawn), "_id").groupBy("_id", "good", "draw").agg(F.min("text").alias("text"))
+    return rows.select("text", "good", "draw"), many
+
+
+def log_count_ratios(found: list[np.ndarray], good: np.ndarray) -> np.ndarray:
+    """Per bucket, the log of its share among the good texts' buckets over that among the bad ones'; one is added to each count."""
+    counts = np.ones((2, BUCKETS))
+    for places, g in zip(found, good):
+        counts[int(g)][places] += 1
+    ratios = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     ratios[-1] = 1.0
-    return ratios, n_good, n_bad
+    return ratios
 
 
-def fit_hinge(rows: list[np.ndarray], signs: np.ndarray, scale: np.ndarray, cost: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
+def fit_hinge(rows: list[np.ndarray], signs: np.ndarray, scale: np.ndarray, cost: np.ndarray, epochs: int = EPOCHS,
+              tolerance: float = TOLERANCE) -> np.ndarray:
     """Weights of scaled indicators that minimise |w|^2 / 2 + the sum of cost x hinge loss, by dual coordinate descent.
 
     Rows hold the distinct places of their indicators; vectors are brought to length one, so that every coordinate's
-    second derivative is one. Ends when no coordinate moves the dual by more than ``TOLERANCE`` over an epoch.
+    second derivative is one. Ends when no coordinate moves by more than ``tolerance`` of its cost over an epoch.
     """
     weights, dual = np.zeros(len(scale)), np.zeros(len(rows))
     vectors = [scale[r] / max(np.sqrt((scale[r] ** 2).sum()), 1e-12) for r in rows]
@@ -142,7 +128,7 @@ def fit_hinge(rows: list[np.ndarray], signs: np.ndarray, scale: np.ndarray, cost
                 moved = max(moved, abs(new - dual[i]) / cost[i])
                 weights[rows[i]] += (new - dual[i]) * signs[i] * vectors[i]
                 dual[i] = new
-        if moved < TOLERANCE:
+        if moved < tolerance:
             break
     return weights
 
@@ -172,47 +158,49 @@ def fit_curve(margins: np.ndarray, good: np.ndarray, weight: np.ndarray) -> tupl
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, *, doc_id: str = "doc_id", text: str = "text",
           label: str = "quality") -> Model:
-    """The model of the labelled rows of ``docs`` (see ``labelled``); about ``sample`` rows of each class fit the hinge loss.
+    """The model of about ``sample`` labelled documents of each class (see ``labelled``).
 
-    Repeated rows count as often as they stand. Null texts are empty. Where one class is missing, every score is the share of good
-    rows (0.5 without any row).
+    Null texts are empty; other columns are not read. Where one class is missing, every score is the share of good ids (0.5
+    without any).
     """
-    rows = labelled(docs, labels, doc_id, text, label)
-    ratios, n_good, n_bad = _log_count_ratios(rows)
-    if not (n_good and n_bad):
-        share = (n_good + 1) / (n_good + n_bad + 2)
-        return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, float(np.log(share / (1 - share))))
-    part = F.when(F.col("good"), F.lit(sample / n_good)).otherwise(F.lit(sample / n_bad))
+    rows, many = labelled(docs, labels, sample, doc_id=doc_id, text=text, label=label)
 
     def make():
         ngrams = Ngrams()
-        return lambda columns: {"good": columns["good"], "draw": columns["draw"], "found": [ngrams(t).tolist() for t in columns["text"]]}
-
-    drawn = map_rows(rows.where(F.col("draw") < part), {"good": "boolean", "draw": "double", "found": "array<int>"}, make)
-    drawn = sorted((r.draw, r.good, r.found) for r in drawn.collect())
-    found, good = [np.array(f) for _, _, f in drawn], np.array([g for _, g, _ in drawn])
-    # A row of the larger class stands for more rows of the table.
-    share = {True: max(1.0, n_good / sample), False: max(1.0, n_bad / sample)}
-    weight = np.array([share[g] for g in good.tolist()])
-    return fit(found, good, weight, ratios)
-
-
-def fit(found: list[np.ndarray], good: np.ndarray, weight: np.ndarray, ratios: np.ndarray) -> Model:
-    signs, curve = np.where(good, 1.0, -1.0), np.arange(len(good)) % CURVE == 0
-    # Both classes weigh alike in the fit; the curve brings their shares back.
-    cost = COST * np.where(good, (~good).sum(), good.sum()) / max(min(good.sum(), (~good).sum()), 1)
-    cost = np.minimum(cost, 20 * COST)
-    for used in (~curve, np.ones_like(curve)):
-        if good[used].any() and not good[used].all():
-            break
-    weights = fit_hinge([f for f, u in zip(found, used) if u], signs[used], ratios, cost[used]) * ratios
-    model = Model(weights, ratios ** 2, 1.0, 0.0)
-    rest = curve if good[curve].any() and not good[curve].all() else np.ones_like(curve)
-    margins = np.array([model.margin(f) for f, r in zip(found, rest) if r])
-    model.slope, model.middle = fit_curve(margins, good[rest], weight[rest])
+        return lambda columns: {"good": columns["good"], "draw": columns["draw"],
+                                "found": [ngrams(t).astype("<i4").tobytes() for t in columns["text"]]}
+
+    drawn = map_rows(rows, {"good": "boolean", "draw": "double", "found": "binary"}, make).collect()
+    drawn.sort(key=lambda r: (r.draw, r.good, bytes(r.found)))
+    found, good = [np.frombuffer(r.found, "<i4") for r in drawn], np.array([r.good for r in drawn], bool)
+    if good.all() or not good.any():
+        share = (many[True] + 1) / (many[True] + many[False] + 2)
+        return Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, float(np.log(share / (1 - share))))
+    # A drawn document stands for as many as its class has for each one drawn.
+    weight = np.where(good, many[True] / good.sum(), many[False] / (~good).sum())
+    return fit(found, good, weight)
+
+
+def fit(found: list[np.ndarray], good: np.ndarray, weight: np.ndarray) -> Model:
+    """Both classes weigh alike in the hinge loss; the curve, over rows by their weights, brings their shares back."""
+    part, margins = np.arange(len(good)) % PARTS, np.zeros(len(good))
+    for p in range(PARTS):
+        used = part != p
+        model = _fit_margin([f for f, u in zip(found, used) if u], good[used])
+        margins[~used] = [model.margin(f) for f, u in zip(found, used) if not u]
+    model = _fit_margin(found, good)
+    model.slope, model.middle = fit_curve(margins, good, weight)
     return model
 
 
+def _fit_margin(found: list[np.ndarray], good: np.ndarray) -> Model:
+    ratios, n_good = log_count_ratios(found, good), max(int(good.sum()), 1)
+    n_bad = max(len(good) - n_good, 1)
+    # At most 20 times the cost for the rarer class, so that a few odd rows do not rule.
+    cost = COST * np.minimum(np.where(good, n_bad, n_good) / min(n_good, n_bad), 20.0)
+    return Model(fit_hinge(found, np.where(good, 1.0, -1.0), ratios, cost) * ratios, ratios ** 2, 1.0, 0.0)
+
+
 def score(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, score (0 to 1), predicted (1 from ``THRESHOLD`` on), one row per row, from the text alone.
 

@@ -1,0 +1,124 @@
+"""Token alignment against a plain count over all documents."""
+
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from obligato.llm import alignment, bpe
+from tests.llm.test_operators import ODD
+
+MORE = [(20, "a" * 5000 + "日本" * 300), (21, "▁x"), (22, "x\0y <s> </s> <unk> <0x41>"), (23, "  lead  trail  "),
+        (24, " <|endoftext|> a<|endoftext|>b"), (25, "same words here"), (26, "same words here"), (25, "other words here")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and very long texts, repeated rows, ids with several texts, clashing columns."""
+    rows = [(i, t, 1, 2, "x", 3) for i, t in ODD + MORE]
+    return spark.createDataFrame(rows, "doc_id long, text string, copies long, run int, kind string, place int")
+
+
+def plainly(rows):
+    a_side = Tokenizer.from_file(public_tokenizers.path(alignment.BYTE_VOCABULARY))
+    a_side.encode_special_tokens = True
+    b_side = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(alignment.PIECE_VOCABULARY))
+    symbols = bpe._byte_of_symbol()
+    a_bytes = {i: bytes(symbols[c] for c in t) for t, i in a_side.get_vocab(with_added_tokens=False).items() if set(t) <= set(symbols)}
+
+    def b_bytes(i):
+        piece = b_side.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b_side.is_byte(i) else piece.replace("▁", " ").encode()
+
+    def groups(text):
+        if not text:
+            return None
+        sides = [[(i, a_bytes[i]) for i in a_side.encode(" " + text, add_special_tokens=False).ids],
+                 [(i, b_bytes(i)) for i in b_side.encode(text)]]
+        if any(b"".join(b for _, b in side) != b" " + text.encode() for side in sides):
+            return None
+        ends = [{sum(len(b) for _, b in side[:n]) for n in range(1, len(side) + 1)} for side in sides] if len(text) < 500 else None
+        if ends is None:  # the same, for long texts
+            ends = []
+            for side in sides:
+                at, found = 0, set()
+                for _, b in side:
+                    at += len(b)
+                    found.add(at)
+                ends.append(found)
+        both, cut = ends[0] & ends[1], []
+        for side in sides:
+            at, parts = 0, [[]]
+            for i, b in side:
+                parts[-1].append(i)
+                at += len(b)
+                if at in both:
+                    parts.append([])
+            cut.append(parts[:-1])
+        return list(zip(*cut))
+
+    found = {row: groups(row[1]) for row in set(rows)}
+    links = {row: [(a, b) for x, y in cut for a in x for b in y] for row, cut in found.items() if cut}
+    count = Counter(pair for each in links.values() for pair in set(each))
+    highest = {}
+    for (a, _), n in count.items():
+        highest[a] = max(n, highest.get(a, 0))
+    out = Counter()
+    for row in rows:
+        if row not in links:
+            out[row[0], 0, 0, 0, 0, 0, 0, ""] += 1
+            continue
+        cut, mine = found[row], links[row]
+        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in cut)
+        out[row[0], sum(len(x) for x, _ in cut), sum(len(y) for _, y in cut), len(cut), len(mine),
+            sum(count[p] == highest[p[0]] for p in mine), sum(count[p] for p in mine), hashlib.sha256(shown.encode()).hexdigest()] += 1
+    return out, {(*p, n, n == highest[p[0]]) for p, n in count.items()}
+
+
+@pytest.mark.parametrize("limits", [{}, {"run_documents": 7, "run_links": 500, "fan_in": 3}])
+def test_links_and_counts(spark, odd, limits):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = docs.union(odd.selectExpr("doc_id + 100000", "text"))
+    found = alignment.Alignment(rows.repartition(3), **limits)
+    documents, pairs = plainly([tuple(r) for r in rows.collect()])
+    assert Counter(map(tuple, found.documents().collect())) == documents
+    assert set(map(tuple, found.pairs().collect())) == pairs
+    assert len(found._groups) == (1 if not limits else 4)
+
+
+def test_odd_columns_and_no_rows(spark, odd):
+    documents, pairs = plainly([(r.doc_id, r.text) for r in odd.collect()])
+    found = alignment.Alignment(odd)
+    assert Counter(map(tuple, found.documents().collect())) == documents and found.pairs().count() == len(pairs)
+    none = alignment.Alignment(odd.limit(0))
+    assert none.documents().count() == none.pairs().count() == 0
+
+
+def test_a_wide_group_is_linked_by_its_distinct_ids(monkeypatch):
+    align = alignment.aligner(public_tokenizers.path(alignment.BYTE_VOCABULARY), public_tokenizers.path(alignment.PIECE_VOCABULARY))
+    texts = ["aaaaaaa bbbb" * 40, "日本語の文字" * 30, "plain words"]
+    digests, places, pairs, times = align.links(texts)
+    monkeypatch.setattr(alignment, "WIDE", 1)
+    again = align.links(texts)
+    assert digests == again[0] and all((x == y).all() for x, y in zip((places, pairs, times), again[1:]))
+    assert times.sum() == sum(digests["n_links"])
+
+
+def test_many_equal_rows_are_one_document(spark):
+    rows = spark.range(25_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'the same text' AS text").union(
+        spark.createDataFrame([(1, "the same text")], "doc_id long, text string"))
+    found = alignment.Alignment(rows)
+    got = found.documents()
+    assert got.count() == 25_001 and got.select("n_links", "count_sum").distinct().count() == 1
+    assert {r.documents for r in found.pairs().collect()} == {2}
+
+
+def test_runs_merge_in_order():
+    import numpy as np
+
+    runs = [(np.array([3, 5, 12, 40]), np.array([1, 2, 3, 4])), (np.array([5, 11, 40]), np.array([10, 20, 30])), (np.array([], int), np.array([], int))]
+    merged = [(p.tolist(), n.tolist()) for p, n in alignment.merge_runs(runs, 10)]
+    assert merged == [([3, 5], [1, 12]), ([11, 12], [20, 3]), ([40], [34])]
