@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from obligato import fixed_values as fixed
 from obligato.functions.money import exact, exact_sum
+from obligato.operators import bitmaps
 from obligato.operators.ranking import nth_largest
 
 
@@ -130,3 +131,21 @@ def quality_flags(stg_awards: DataFrame) -> DataFrame:
         F.count("*").alias("awards"),
         F.count_if("is_zero_amount").alias("zero_amount"),
         F.count_if("is_masked_recipient").alias("masked_recipient"))
+
+
+#: The finest groups whose vendors are kept as bitmaps; distinct vendors of anything wider are merged from them.
+VENDOR_GROUPS = ["awarding_department", "awarding_sub_agency", "fiscal_year"]
+
+
+def vendor_roll_ups(vendor_sets: DataFrame) -> DataFrame:
+    """Distinct vendors in all, per department, sub-agency and fiscal year, and per two of them."""
+    department, sub_agency, year = VENDOR_GROUPS
+    levels = {"all": [], "department": [department], "sub_agency": [department, sub_agency], "year": [year],
+              "department_year": [department, year], "sub_agency_year": VENDOR_GROUPS}
+    return bitmaps.roll_ups(vendor_sets, levels, VENDOR_GROUPS, "vendors")
+
+
+def vendors_over_years(vendor_sets: DataFrame, years: int) -> DataFrame:
+    """Distinct vendors of each department over so many fiscal years, up to each year it has."""
+    return bitmaps.trailing(bitmaps.merged(vendor_sets, ["awarding_department", "fiscal_year"]), ["awarding_department"],
+                            "fiscal_year", years, "vendors")

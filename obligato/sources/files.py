@@ -1,5 +1,8 @@
 """Small helpers on the cluster's file system (any Hadoop-supported store)."""
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -11,10 +14,12 @@ def _path(spark: SparkSession, path: str):
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    A session that names none gets a folder beside its warehouse, which executors share as well.
+    A local session that names none gets a folder beside its warehouse; on a cluster it must be named.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -53,18 +58,37 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file beside the target, then rename it over the target."""
-    draft = f"{path}.draft"
-    fs, p = _path(spark, draft)
-    stream = fs.create(p, True)
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder, in order; a missing folder has none."""
+    fs, p = _path(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a small file with its whole text, or says False if there is one; of several callers one succeeds.
+
+    A draft is written first. It then gets its name by a step that fails where the name is taken: a rename without
+    overwriting on a cluster's file system, a hard link on a local disk, where Java's rename would replace. A store
+    without an atomic rename gives no such promise.
+    """
+    jvm, (fs, target) = spark._jvm, _path(spark, path)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    jvm = spark._jvm
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(p, jvm.org.apache.hadoop.fs.Path(path), options)
+    try:
+        if fs.getScheme() == "file":
+            local = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, draft)]
+            jvm.java.nio.file.Files.createLink(*local)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+            context.rename(draft, target, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(draft, False)
+    return True

@@ -44,11 +44,18 @@ SNAPSHOT_DAILY = _columns("""
     award_amount double, end_date date, status string, successor_award_key string, reconstructed boolean
 """)
 
+#: The history as intervals: a day's columns without the day, and the days between which they held.
+SNAPSHOT_INTERVALS = T.StructType([f for f in SNAPSHOT_DAILY.fields if f.name != "snapshot_date"]).add(
+    "valid_from", "date").add("valid_to", "date")
+
 AWARD_EVENTS = _columns("""
     snapshot_date date, award_key string, award_id string, awarding_sub_agency string, recipient_name string,
     event string, old_value string, new_value string
 """)
 
+#: Landed texts that gave no value, and lines that are no records, by the day of the pull.
+QUARANTINE = _columns("snapshot_date date, table_name string, award_key string, field string, value string")
+
 RAW_TABLES = {
     "raw_awards": RAW_AWARDS,
     "raw_transactions": RAW_TRANSACTIONS,

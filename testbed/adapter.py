@@ -1,8 +1,9 @@
 """Contract records derived from the given order tables (the mapping is described in FIXTURES.md).
 
-The modulo rules vary values (blanks, NULLs, copies), so that each rule of the models meets data. Some orders
-are no awards, and some are missing on one day: they make the actions without an award, and the new and
-dropped awards of the events.
+Every order is an award and every line an action. The modulo rules vary values (blanks, NULLs, copies), so that
+each rule of the models meets data; some actions come a second time under an award that does not exist, and some
+awards are missing on one of the two earlier days, which makes the new and dropped awards of the events. A pull without
+faults has no copies, strays, blanks or missing detail pages, and passes the gates and the audit.
 """
 
 import datetime as dt
@@ -82,13 +83,13 @@ _AWARD_ROWS = """
                                                    - if(no >= 2 AND o_orderkey % 37 = 0, 10, 0))) END AS end_date
   FROM {orders}
   LATERAL VIEW inline({days}) AS no, snapshot_date
-  LATERAL VIEW explode(if(o_orderkey % 101 = 0, array(0, 1), array(0))) AS old
-  WHERE o_orderkey % 97 <> 0 AND NOT (no = 1 AND o_orderkey % 53 = 0) AND NOT (no = 3 AND o_orderkey % 59 = 0)
+  LATERAL VIEW explode(if({faults} AND o_orderkey % 101 = 0, array(0, 1), array(0))) AS old
+  WHERE NOT (no = 1 AND o_orderkey % 53 = 0) AND NOT (no = 2 AND o_orderkey % 59 = 0)
 """
 _AWARDS = f"""
   SELECT snapshot_date, 'ORD_' || k AS award_key, 'AW' || k AS award_id,
          if(k % 11 = 0, '\\t ' || vendor || '\\u00a0 ', vendor) AS recipient_name,
-         if(k % 50 = 0, '  ', uei) AS recipient_uei,
+         if({{faults}} AND k % 50 = 0, '  ', uei) AS recipient_uei,
          awarding_agency, awarding_sub_agency, award_amount,
          if(k % 3 <> 0, o_totalprice * 0.5D, NULL) AS total_outlays,
          if(k % 211 <> 0, day, NULL) AS start_date, end_date,
@@ -102,15 +103,17 @@ _AWARDS = f"""
   LEFT JOIN ({_VENDORS}) ON s_suppkey = k % (SELECT count(*) FROM {{supplier}})
 """
 _TRANSACTIONS = f"""
-  SELECT snapshot_date, 'ORD_' || l_orderkey AS award_key, 'AW' || l_orderkey AS award_id,
+  SELECT snapshot_date, if(stray, 'LOST_', 'ORD_') || l_orderkey AS award_key, 'AW' || l_orderkey AS award_id,
          if(l_linenumber = 1, '0', 'P' || lpad(string(l_linenumber), 5, '0')) AS modification_number,
          date(l_shipdate) AS action_date,
          if(l_linenumber <> 1, l_linestatus, NULL) AS action_type,
          if(l_returnflag = 'R', -l_extendedprice, l_extendedprice) AS obligation_amount,
          if(l_linenumber % 3 <> 0, ' LINE ' || l_linenumber || '\\n', NULL) AS transaction_description,
          vendor AS recipient_name, if(l_partkey % 50 = 0, ' ', uei) AS recipient_uei,
-         awarding_agency, awarding_sub_agency, contract_award_type, naics_code, psc_code
+         if(stray, NULL, awarding_agency) AS awarding_agency, if(stray, NULL, awarding_sub_agency) AS awarding_sub_agency,
+         contract_award_type, naics_code, psc_code
   FROM (SELECT * FROM {{lineitem}} LATERAL VIEW inline({{days}}) AS no, snapshot_date
+        LATERAL VIEW explode(if({{faults}} AND l_orderkey % 97 = 0, array(false, true), array(false))) AS stray
         WHERE date(l_shipdate) <= snapshot_date)
   LEFT JOIN (SELECT o_orderkey, o_custkey, {_CODES} FROM {{orders}}) ON o_orderkey = l_orderkey
   LEFT JOIN ({_BUYERS}) ON c_custkey = o_custkey
@@ -118,7 +121,7 @@ _TRANSACTIONS = f"""
 """
 _DETAILS = f"""
   SELECT snapshot_date, 'ORD_' || k AS award_key, end_date AS current_end_date,
-         if(k % 107 <> 0, date_add(end_date, get(array(0, 15, 30, 365), int(k % 4)) - earlier), NULL) AS potential_end_date,
+         if({{faults}} AND k % 107 = 0, NULL, date_add(end_date, get(array(0, 15, 30, 365), int(k % 4)) - earlier)) AS potential_end_date,
          award_amount AS obligated_amount, award_amount AS base_exercised_options_value,
          award_amount * 1.5D AS base_and_all_options_value,
          if(k % 2 = 0, ' ', left(c_mktsegment, 3)) AS type_set_aside,
@@ -126,44 +129,45 @@ _DETAILS = f"""
          get(array('FULL AND OPEN', ' ', NULL), int(k % 3)) AS extent_competed_description,
          nullif(k % 9, 0L) AS number_of_offers_received,
          if(k % 5 = 0, '', 'SOL' || k) AS solicitation_identifier
-  FROM (SELECT * FROM ({_AWARD_ROWS}) LATERAL VIEW explode(if(k % 103 = 0, array(0, 5), array(0))) AS earlier
-        WHERE old = 0 AND end_date >= snapshot_date AND k % 89 <> 0)
+  FROM (SELECT * FROM ({_AWARD_ROWS}) LATERAL VIEW explode(if({{faults}} AND k % 103 = 0, array(0, 5), array(0))) AS earlier
+        WHERE old = 0 AND end_date >= snapshot_date AND NOT ({{faults}} AND k % 89 = 0))
   LEFT JOIN {{customer}} ON c_custkey = o_custkey
 """
 
 
-def _run(spark: SparkSession, sf_dir: str, sql: str, days: list[dt.date]) -> DataFrame:
+def _run(spark: SparkSession, sf_dir: str, sql: str, days: list[dt.date], faults: bool) -> DataFrame:
     at = ", ".join(f"struct({DAYS.index(d) + 1}, DATE '{d}')" for d in days)
     used = {name: table(spark, sf_dir, name) for name in SCHEMAS if f"{{{name}}}" in sql}
-    return spark.sql(sql.replace("{days}", f"array({at})"), **used)
+    return spark.sql(sql.replace("{days}", f"array({at})").replace("{faults}", str(faults).lower()), **used)
 
 
-def raw_awards(spark: SparkSession, sf_dir: str, days: list[dt.date] = [AS_OF]) -> DataFrame:
-    return _run(spark, sf_dir, _AWARDS, days)
+def raw_awards(spark: SparkSession, sf_dir: str, days: list[dt.date] = [AS_OF], faults: bool = True) -> DataFrame:
+    return _run(spark, sf_dir, _AWARDS, days, faults)
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str, days: list[dt.date] = [AS_OF]) -> DataFrame:
-    return _run(spark, sf_dir, _TRANSACTIONS, days)
+def raw_transactions(spark: SparkSession, sf_dir: str, days: list[dt.date] = [AS_OF], faults: bool = True) -> DataFrame:
+    return _run(spark, sf_dir, _TRANSACTIONS, days, faults)
 
 
-def raw_award_details(spark: SparkSession, sf_dir: str, days: list[dt.date] = [AS_OF]) -> DataFrame:
-    return _run(spark, sf_dir, _DETAILS, days)
+def raw_award_details(spark: SparkSession, sf_dir: str, days: list[dt.date] = [AS_OF], faults: bool = True) -> DataFrame:
+    return _run(spark, sf_dir, _DETAILS, days, faults)
 
 
-def control_totals(spark: SparkSession, sf_dir: str, orders: str = "true") -> DataFrame:
+def control_totals(spark: SparkSession, sf_dir: str, day: dt.date = AS_OF) -> DataFrame:
     """An outside party's totals per agency, straight from the given tables and not from our raw rows."""
-    bought = (table(spark, sf_dir, "orders").where(orders)
+    bought = (table(spark, sf_dir, "orders")
               .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
               .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")))
-    shipped = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate").cast("date") <= F.lit(AS_OF))
+    shipped = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate").cast("date") <= F.lit(day))
     signed = "CAST(if(l_returnflag = 'R', -l_extendedprice, l_extendedprice) AS DECIMAL(18,2))"
     return shipped.join(bought, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("n_name").alias("agency")).agg(
         F.expr(f"CAST(sum({signed}) AS DOUBLE)").alias("amount"))
 
 
 def control_counts(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
-    """How many awards and contract actions a pull must hold, straight from the given tables."""
-    k = F.col("o_orderkey")
-    copies = F.when((k % 97 == 0) | (k % 59 == 0), 0).when(k % 101 == 0, 2).otherwise(1)
+    """How many awards and contract actions a pull with faults must hold, straight from the given tables."""
+    def rows(key: str, n: int) -> Column:
+        return F.sum(F.when(F.col(key) % n == 0, 2).otherwise(1))
+
     shipped = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate").cast("date") <= F.lit(AS_OF))
-    return table(spark, sf_dir, "orders").agg(F.sum(copies)).scalar(), shipped.agg(F.count("*")).scalar()
+    return table(spark, sf_dir, "orders").agg(rows("o_orderkey", 101)).scalar(), shipped.agg(rows("l_orderkey", 97)).scalar()

@@ -1,19 +1,21 @@
 """Registered queries: every model, view, gate, audit and report over the given tables."""
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from obligato.functions.dates import fiscal_years, lookback_window
-from obligato.operators.changes import award_events
 from obligato.functions.money import exact_sum
+from obligato.operators import bitmaps
+from obligato.operators.changes import award_events
 from obligato.operators.checks import together
-from obligato.operators.snapshots import keep_latest
 from obligato.plans import audit, history, ingest, marts, niche, publish, reports, staging, views
 from obligato.sources import landed, schemas
 from obligato.sources.files import shared_folder
 from obligato.sources.raw_store import DayStore
+from obligato.sources.versioned import Versions
 from testbed import adapter
 from testbed.adapter import AS_OF, DAYS
 
@@ -243,8 +245,8 @@ def _order_of(key: str = "award_key"):
     return F.substring_index(key, "_", -1).cast("bigint")
 
 
-def flatten_awards(spark, sf_dir):
-    """Awards landed as nested JSON with some bad numbers and dates, read back as typed columns."""
+def _landed_awards(spark, sf_dir) -> DataFrame:
+    """Awards as nested JSON lines, with some bad numbers and dates."""
     k = _order_of()
     spoil = {
         "award_amount": F.when(k % 17 == 0, "n/a").otherwise(F.col("award_amount").cast("string")),
@@ -252,87 +254,183 @@ def flatten_awards(spark, sf_dir):
         "start_date": F.concat(F.col("start_date").cast("string"), F.lit(" 00:00:00")),
         "last_modified_date": F.date_format("last_modified_date", "yyyy-MM-dd HH:mm:ss"),
     }
-    fields = landed.fixed.AWARD_FIELDS
-    path = _land(spark, _as_landed(adapter.raw_awards(spark, sf_dir), fields, spoil))
-    return landed.read_awards(spark, path)
+    return _as_landed(adapter.raw_awards(spark, sf_dir), landed.fixed.AWARD_FIELDS, spoil)
 
 
-def flatten_transactions(spark, sf_dir):
-    fields = landed.fixed.TRANSACTION_FIELDS
+def _landed_transactions(spark, sf_dir) -> DataFrame:
     spoil = {"action_date": F.when(_order_of() % 19 == 0, "soon").otherwise(F.col("action_date").cast("string"))}
-    path = _land(spark, _as_landed(adapter.raw_transactions(spark, sf_dir), fields, spoil))
-    return landed.read_transactions(spark, path)
+    return _as_landed(adapter.raw_transactions(spark, sf_dir), landed.fixed.TRANSACTION_FIELDS, spoil)
 
 
-def flatten_details(spark, sf_dir):
-    k = _order_of()
+def _landed_details(spark, sf_dir) -> DataFrame:
     spoil = {
         "potential_end_date": F.concat(F.col("potential_end_date").cast("string"), F.lit(" 00:00:00")),
-        "number_of_offers_received": F.when(k % 9 == 5, "6.5").otherwise(
+        "number_of_offers_received": F.when(_order_of() % 9 == 5, "6.5").otherwise(
             F.col("number_of_offers_received").cast("string")),
     }
-    fields = landed.fixed.DETAIL_FIELDS
-    path = _land(spark, _as_landed(adapter.raw_award_details(spark, sf_dir), fields, spoil))
-    return landed.read_details(spark, path)
+    return _as_landed(adapter.raw_award_details(spark, sf_dir), landed.fixed.DETAIL_FIELDS, spoil)
+
+
+def flatten_awards(spark, sf_dir):
+    """Landed awards read back as typed columns."""
+    return landed.read_awards(spark, _land(spark, _landed_awards(spark, sf_dir)))
+
+
+def flatten_transactions(spark, sf_dir):
+    return landed.read_transactions(spark, _land(spark, _landed_transactions(spark, sf_dir)))
+
+
+def flatten_details(spark, sf_dir):
+    return landed.read_details(spark, _land(spark, _landed_details(spark, sf_dir)))
+
+
+def _parsed_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The three landed tables, each with a torn line for every 23rd award or line, parsed and stored."""
+    sources = {"raw_awards": (_landed_awards, adapter.raw_awards, landed.parse_awards),
+               "raw_transactions": (_landed_transactions, adapter.raw_transactions, landed.parse_transactions),
+               "raw_award_details": (_landed_details, adapter.raw_award_details, landed.parse_details)}
+    parsed = {}
+    for table, (lines, raw, parse) in sources.items():
+        torn = raw(spark, sf_dir).where(_order_of() % 23 == 0).select(F.concat(F.lit('{"torn": "'), "award_key").alias("value"))
+        parsed[table] = stored(spark, parse(spark, _land(spark, lines(spark, sf_dir).unionByName(torn))), table)
+    return parsed
+
+
+def coercion_counts(spark, sf_dir):
+    """Per field of the landed tables, how many texts gave no value."""
+    return together([landed.coercions(rows, table) for table, rows in _parsed_tables(spark, sf_dir).items()])
+
+
+def landed_quarantine(spark, sf_dir):
+    """Every text that gave no value, and every torn line."""
+    return together([landed.quarantined(rows, table) for table, rows in _parsed_tables(spark, sf_dir).items()])
+
+
+def _vendor_sets(spark, sf_dir) -> DataFrame:
+    """Bitmaps of the vendors of the niche's actions, per department, sub-agency and fiscal year."""
+    market = stored(spark, _model("dash_market")(spark, sf_dir), "market")
+    vendors = stored(spark, bitmaps.extended(None, market, "recipient_uei"), "vendor_codes")
+    return stored(spark, bitmaps.bitmaps(market, reports.VENDOR_GROUPS, "recipient_uei", vendors), "vendor_sets")
+
+
+def distinct_vendors(spark, sf_dir):
+    """Distinct vendors at every level of department, sub-agency and year, from one table of bitmaps."""
+    return reports.vendor_roll_ups(_vendor_sets(spark, sf_dir))
+
+
+def distinct_vendors_3y(spark, sf_dir):
+    """Distinct vendors of a department over three fiscal years."""
+    return reports.vendors_over_years(_vendor_sets(spark, sf_dir), 3)
 
 
 def _clean_pull(spark, sf_dir, day):
-    """A pull that passes the gates and the audit: one row per key, every action with an award, all named."""
-    awards = adapter.raw_awards(spark, sf_dir, [day])
-    awards = keep_latest(awards, ["award_key"], [F.col("last_modified_date").desc()]).withColumn(
-        "recipient_uei", F.coalesce(F.nullif(F.trim("recipient_uei"), F.lit("")), F.lit("UEI_NONE")))
-    actions = (adapter.raw_transactions(spark, sf_dir, [day])
-               .groupBy("award_key", "modification_number", "awarding_agency", "awarding_sub_agency")
-               .agg(F.min("action_date").alias("action_date"),
-                    F.sum(F.col("obligation_amount").cast("decimal(18,2)")).cast("double").alias("obligation_amount"),
-                    F.max("recipient_uei").alias("recipient_uei")))
-    actions = actions.join(awards.select("award_key"), "award_key", "left_semi")
-    for f in schemas.RAW_TRANSACTIONS.fields:
-        if f.name not in actions.columns:
-            actions = actions.withColumn(f.name, F.lit(None).cast(f.dataType))
-    running = awards.where(F.col("end_date") >= F.lit(day))
-    details = running.select("award_key", F.col("end_date").alias("current_end_date"),
-                             F.date_add("end_date", 90).alias("potential_end_date"))
-    for f in schemas.RAW_AWARD_DETAILS.fields:
-        if f.name not in details.columns:
-            details = details.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return awards, actions, details
+    """A pull without faults, as it would pass the gates and the audit; the lines of one number are one action."""
+    awards, lines, details = (pull(spark, sf_dir, [day], faults=False)
+                              for pull in (adapter.raw_awards, adapter.raw_transactions, adapter.raw_award_details))
+    keys = ["award_key", "modification_number"]
+    money = F.sum(F.col("obligation_amount").cast("decimal(18,2)")).cast("double").alias("obligation_amount")
+    rest = [F.min(f.name).alias(f.name) for f in schemas.RAW_TRANSACTIONS.fields if f.name not in (*keys, "obligation_amount")]
+    return awards, lines.groupBy(*keys).agg(money, *rest), details
 
 
-def publish_roundtrip(spark, sf_dir):
-    """Load a day through the gates, be refused for totals that are too high, then publish; rows and dollars of each table."""
+def _warehouse(spark):
     root = f"{shared_folder(spark)}/publish-{uuid.uuid4().hex}"
-    store, warehouse = DayStore(spark, f"{root}/raw"), publish.Warehouse(spark, f"{root}/warehouse")
+    return DayStore(spark, f"{root}/raw"), publish.Warehouse(spark, f"{root}/warehouse")
+
+
+def publish_roundtrip(spark, sf_dir):
+    """Load a day through the gates, be refused for totals that are too high, then publish; rows and dollars of each table,
+    and whether each is still what the commit says."""
+    store, warehouse = _warehouse(spark)
     ingest.load_day(store, AS_OF, *_clean_pull(spark, sf_dir, AS_OF))
-    snapshots = history.history_store(spark, f"{root}/history")
-    control = stored(spark, adapter.control_totals(spark, sf_dir, "o_orderkey % 97 <> 0 AND o_orderkey % 59 <> 0"), "control")
+    control = stored(spark, adapter.control_totals(spark, sf_dir), "control")
     try:
-        publish.refresh(store, warehouse, snapshots, control.withColumn("amount", F.col("amount") * 1.05), (1, 10**12))
+        publish.refresh(store, warehouse, control.withColumn("amount", F.col("amount") * 1.05), (1, 10**12))
     except publish.PublishRefused:
         refused = warehouse.live_run() is None
     else:
         refused = False
-    publish.refresh(store, warehouse, snapshots, control, (1, 10**12))
+    publish.refresh(store, warehouse, control, (1, 10**12))
     money = {"stg_transactions": "obligation_amount", "fct_obligations": "obligation_amount",
-             "stg_award_details": "base_and_all_options_value", "dim_agencies": "niche_award_amount",
+             "stg_award_details": "obligated_amount", "dim_agencies": "niche_award_amount",
              "dim_vendors": "niche_award_amount"}
-    tables = {name: warehouse.table(name) for name in publish.MODELS} | {history.TABLE: snapshots.read(history.TABLE)}
+    tables = {name: warehouse.table(name) for name in publish.MODELS} | {history.TABLE: history.committed_history(warehouse)}
     parts = [rows.agg(F.count("*").alias("rows"), exact_sum(F.col(money.get(name, "award_amount"))).alias("amount"))
              .select(F.lit(name).alias("table_name"), "rows", "amount") for name, rows in tables.items()]
-    parts.append(spark.range(1).select(F.lit("refused").alias("table_name"), F.lit(int(refused)).cast("bigint").alias("rows"),
-                                       F.lit(None).cast("double").alias("amount")))
-    return together(parts)
+    checked = together(parts).join(warehouse.verify().select("table_name", "intact"), "table_name", "left")
+    gate = spark.range(1).select(F.lit("refused").alias("table_name"), F.lit(int(refused)).cast("bigint").alias("rows"),
+                                 F.lit(None).cast("double").alias("amount"), F.lit(None).cast("boolean").alias("intact"))
+    return checked.unionByName(gate)
+
+
+def publish_steps(spark, sf_dir):
+    """Two runs prepared upon the same commit: what readers see before, between and after, and the slower one refused."""
+    store, warehouse = _warehouse(spark)
+    seen = []
+
+    def look(step: str, refused: int = 0) -> None:
+        fact, days = warehouse.table("fact_awards"), history.committed_history(warehouse)
+        one = fact.agg(F.count("*").alias("awards"), exact_sum(F.col("award_amount")).alias("amount"), F.max("as_of_date").alias("as_of_date"))
+        row = one.select("*", days.agg(F.count("*")).scalar().alias("history_rows"),
+                         history.committed_events(warehouse).agg(F.count("*")).scalar().alias("event_rows")).first()
+        seen.append((step, len(warehouse.log.numbers()), *row, refused))
+
+    for day in DAYS[1:]:
+        awards, lines, details = _clean_pull(spark, sf_dir, day)
+        # An award that is missing on the earlier day has no lines there either.
+        ingest.load_day(store, day, awards, lines.join(awards.select("award_key"), "award_key", "left_semi"), details)
+    publish.refresh(store, warehouse, None, (1, 10**12), as_of=DAYS[1])
+    look("first day")
+    fast, slow = (publish.prepare(store, warehouse, None, (1, 10**12)) for _ in range(2))
+    look("two prepared")
+    publish.publish(fast)
+    look("one published")
+    try:
+        publish.publish(slow)
+    except publish.PublishRefused:
+        look("other refused", 1)
+    return spark.createDataFrame(seen, "step string, commits int, awards bigint, amount double, as_of_date date, "
+                                       "history_rows bigint, event_rows bigint, refused int")
 
 
 def history_rerun(spark, sf_dir):
     """Three days appended to a stored history, the last one twice."""
     store = history.history_store(spark, f"{shared_folder(spark)}/history-{uuid.uuid4().hex}")
     for day in [*DAYS, DAYS[-1]]:
-        history.append_day(store, Models(spark, sf_dir, day).fact)
+        history.append_day(store, Models(spark, sf_dir, day).fact, day)
     return store.read(history.TABLE).groupBy("snapshot_date").agg(
         F.count("*").alias("rows"), F.countDistinct("award_key").alias("awards"))
 
 
+def _committed(spark, sf_dir) -> Versions:
+    """A history of intervals by one commit a day: the middle day comes last, after a first, empty try at it."""
+    versions = Versions(spark, f"{shared_folder(spark)}/intervals-{uuid.uuid4().hex}")
+    facts = {day: stored(spark, Models(spark, sf_dir, day).fact, "fact") for day in DAYS}
+    for day, fact in ((DAYS[0], facts[DAYS[0]]), (DAYS[1], facts[DAYS[1]].limit(0)), (DAYS[2], facts[DAYS[2]]), (DAYS[1], facts[DAYS[1]])):
+        draft = versions.begin()
+        history.put_day(draft, fact, day)
+        draft.commit()
+    return versions
+
+
+def history_intervals(spark, sf_dir):
+    """One row per state of an award, merged day by day."""
+    return history.committed_intervals(_committed(spark, sf_dir))
+
+
+def history_from_intervals(spark, sf_dir):
+    return history.committed_history(_committed(spark, sf_dir))
+
+
+def history_past_day(spark, sf_dir):
+    """The history as it stood on a day between two snapshots."""
+    return history.committed_day(_committed(spark, sf_dir), DAYS[2] - dt.timedelta(days=1))
+
+
+def events_from_intervals(spark, sf_dir):
+    return history.committed_events(_committed(spark, sf_dir))
+
+
 def latest_events_stored(spark, sf_dir):
     """Events of the newest day from a stored history; the oldest day's folder is not opened."""
     store = history.history_store(spark, f"{shared_folder(spark)}/history-{uuid.uuid4().hex}")
@@ -397,6 +495,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flatten_awards": flatten_awards,
     "flatten_transactions": flatten_transactions,
     "flatten_details": flatten_details,
+    "coercion_counts": coercion_counts,
+    "landed_quarantine": landed_quarantine,
+    "distinct_vendors": distinct_vendors,
+    "distinct_vendors_3y": distinct_vendors_3y,
     "publish_roundtrip": publish_roundtrip,
+    "publish_steps": publish_steps,
     "history_rerun": history_rerun,
+    "history_intervals": history_intervals,
+    "history_from_intervals": history_from_intervals,
+    "history_past_day": history_past_day,
+    "events_from_intervals": events_from_intervals,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from obligato.functions.dates import fiscal_years, lookback_window
 from obligato.plans import audit, history, ingest, publish, staging
-from obligato.sources import files, landed
+from obligato.sources import landed
 from obligato.sources.raw_store import DayStore
 from obligato.sources import schemas
 from obligato.sources.schemas import RAW_AWARDS, RAW_TRANSACTIONS
@@ -156,7 +156,7 @@ def loaded(spark, tmp_path_factory):
     awards, actions, details = frames(spark, GOLDEN)
     for table, rows in (("raw_awards", awards), ("raw_transactions", actions), ("raw_award_details", details)):
         store.replace_days(table, rows)
-    return store, publish.Warehouse(spark, str(root / "models")), history.history_store(spark, str(root / "history"))
+    return store, publish.Warehouse(spark, str(root / "models"))
 
 
 def totals(spark, *rows):
@@ -164,37 +164,36 @@ def totals(spark, *rows):
 
 
 def test_publish_only_after_every_check(spark, loaded):
-    store, warehouse, snapshots = loaded
+    store, warehouse = loaded
     with pytest.raises(publish.PublishRefused, match="niche_size_in_range: 1"):
-        publish.refresh(store, warehouse, snapshots, None, (100, 600))
-    assert warehouse.live_run() is None and snapshots.days(history.TABLE) == []
+        publish.refresh(store, warehouse, None, (100, 600))
+    assert warehouse.live_run() is None
     with pytest.raises(LookupError):
         warehouse.table("fact_awards")
 
     control = totals(spark, ("Energy Council", 35000.0 * 1.004), ("Weather Office", 5.0))
-    run = publish.refresh(store, warehouse, snapshots, control, niche_size=(1, 600))
+    run = publish.refresh(store, warehouse, control, niche_size=(1, 600))
     assert warehouse.live_run() == run and warehouse.table("fact_awards").count() == 9
-    assert snapshots.days(history.TABLE) == [DAY]
+    assert history.snapshot_days(warehouse.newest()) == [DAY]
     assert spark.sql("SELECT count(*) FROM vw_dash_wins").first()[0] == 9
     assert spark.sql("SELECT count(*) FROM vw_award_events").first()[0] == 0
 
     with pytest.raises(publish.PublishRefused, match="control totals: Energy Council"):
-        publish.refresh(store, warehouse, snapshots, totals(spark, ("Energy Council", 35000.0 * 1.05)),
-                        niche_size=(1, 600))
+        publish.refresh(store, warehouse, totals(spark, ("Energy Council", 35000.0 * 1.05)), niche_size=(1, 600))
     assert warehouse.live_run() == run
-    again = publish.refresh(store, warehouse, snapshots, None, niche_size=(1, 600))
+    again = publish.refresh(store, warehouse, None, niche_size=(1, 600))
     assert warehouse.live_run() == again != run
-    assert snapshots.read(history.TABLE).count() == 9
+    assert history.committed_history(warehouse).count() == 9
 
 
 def test_raw_tables_at_different_days_are_refused(spark, loaded, tmp_path):
-    store, warehouse, snapshots = loaded
+    store, warehouse = loaded
     mixed = DayStore(spark, str(tmp_path / "raw"))
     for table in mixed.schemas:
         mixed.replace_days(table, store.read(table))
     mixed.replace_days("raw_awards", store.read("raw_awards").withColumn("snapshot_date", F.lit(d("2023-05-16"))))
     with pytest.raises(publish.PublishRefused, match="different days"):
-        publish.refresh(mixed, warehouse, snapshots, None, niche_size=(1, 600))
+        publish.refresh(mixed, warehouse, None, niche_size=(1, 600))
 
 
 @pytest.mark.parametrize("control, failed, agency", [
@@ -233,22 +232,6 @@ def test_audit_finds_violations(spark):
         "obligations_belong_to_awards": 1, "recompetes_have_details": 1, "recompetes_not_expired": 1}
 
 
-def test_the_run_before_the_live_one_stays_for_its_readers(spark, tmp_path):
-    warehouse = publish.Warehouse(spark, str(tmp_path))
-    for run in ("one", "two", "two", "three"):
-        warehouse.stage(run, "t", spark.range(1))
-        warehouse.publish(run)
-    assert warehouse.live_run() == "three"
-    assert [files.exists(spark, f"{tmp_path}/runs/{run}") for run in ("one", "two", "three")] == [False, True, True]
-
-
-def test_pointer_file_is_replaced_whole(spark, tmp_path):
-    path = str(tmp_path / "LIVE")
-    for text in ("first run", "second"):
-        files.replace_text(spark, path, text)
-        assert files.read_text(spark, path) == text
-
-
 def test_numbers_keep_their_value_or_become_null(spark):
     from obligato.sources.landed import _typed
     from pyspark.sql import types as T
