@@ -19,8 +19,10 @@ Equal rows (id and text) are one document: it is worked and counted once and ret
 import functools
 import hashlib
 import heapq
+import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,8 @@ from obligato.llm.common import SLICE_ROWS, Remembered, arrow_schema, ddl, encod
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 RUN_DOCUMENTS, RUN_LINKS = 8192, 4_000_000  # the first one below 2^16
 RADICES, FAN_IN = 64, 256
+#: Bytes of words and fragments that a Python worker remembers, beside their number.
+REMEMBERED_BYTES = 1 << 26
 #: Groups with more links than this are linked by their distinct ids.
 WIDE = 4096
 
@@ -47,6 +51,23 @@ _DIGEST = {"place": "int", "doc_id": "long", "copies": "long", "n_a": "long", "n
 _WRITTEN = {"kind": "string"} | _RUN | _DIGEST
 
 
+class Units(Remembered):
+    """Remembered units whose bytes are bounded as well as their number: by ``REMEMBERED_BYTES`` and those of one slice."""
+
+    def _clear(self) -> None:
+        super()._clear()
+        self._held = 0
+
+    def _add(self, units: list, known: int) -> None:
+        self._held += sum(map(len, units))
+        super()._add(units, known)
+
+    def ids(self, texts: Iterator[list]) -> list[np.ndarray]:
+        if self._held > REMEMBERED_BYTES:
+            self._clear()
+        return super().ids(texts)
+
+
 class PlainByteBpe(ByteBpe):
     """Byte-level BPE for which special strings inside a text are plain text."""
 
@@ -57,7 +78,7 @@ class PlainByteBpe(ByteBpe):
         self._special = [t.content.encode() for t in self._library.get_added_tokens_decoder().values() if t.special]
         self._plain = Tokenizer.from_file(path)
         self._plain.encode_special_tokens = True
-        self._remembered = Remembered(self._encode_plain, REMEMBERED_FRAGMENTS)
+        self._remembered = Units(self._encode_plain, REMEMBERED_FRAGMENTS)
 
     def _encode_plain(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         odd = [n for n, u in enumerate(units) if any(s in u for s in self._special)]
@@ -76,32 +97,55 @@ class PlainByteBpe(ByteBpe):
         return self._remembered.ids(self.fragments(t.encode()) for t in texts)
 
 
+class Pieces:
+    """Sentence pieces, word by word: no piece holds a blank after another character, so a blank always starts a unit."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self._library = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self._library.id_to_piece(i) for i in range(self._library.get_piece_size())]
+        if any(_BLANK in p.lstrip(_BLANK) for p in pieces):
+            raise ValueError("a piece holds a blank after another character; units would not be independent")
+        self.bytes = [bytes([int(p[3:5], 16)]) if self._library.is_byte(i) else p.replace(_BLANK, " ").encode() for i, p in enumerate(pieces)]
+        self._units = Units(self._encode, REMEMBERED_FRAGMENTS)
+
+    def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # The library puts a blank before a text, which is the unit's first one, but not before an empty text.
+        ids = [x or [self._library.piece_to_id(_BLANK)] for x in self._library.encode(units, num_threads=1)]
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def ids_of(self, texts: list[str]) -> list[np.ndarray]:
+        return self._units.ids(map(_units_of, texts))
+
+
+def _units_of(text: str) -> list[str]:
+    """The units of a blank and the text, each without its first blank: blanks, then what follows them."""
+    if "  " not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    return [unit[1:] for unit in re.findall(" +[^ ]*", f" {text}")]
+
+
 class Aligner:
     """Tokens of both sides of a slice of texts, their groups and links."""
 
     def __init__(self, a_path: str, b_path: str):
-        import sentencepiece
-
-        self._a = PlainByteBpe(a_path)
-        self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        pieces = range(self._b.get_piece_size())
-        self._a_bytes = self._a.token_bytes
-        self._b_bytes = [bytes([int(self._b.id_to_piece(i)[1:-1], 16)]) if self._b.is_byte(i)
-                         else self._b.id_to_piece(i).replace(_BLANK, " ").encode() for i in pieces]
+        self._a, self._b = PlainByteBpe(a_path), Pieces(b_path)
+        self._a_bytes, self._b_bytes = self._a.token_bytes, self._b.bytes
         self._a_size, self._b_size = (np.array(list(map(len, x)), np.int64) for x in (self._a_bytes, self._b_bytes))
         self.second = len(self._b_bytes)
         #: A token's decimal id with what follows it: the next token, the other side, the next group.
-        self._shown = [f"{i}{after}" for i in range(max(len(self._a_bytes), len(pieces))) for after in ",|;"]
+        self._shown = [f"{i}{after}" for i in range(max(len(self._a_bytes), len(self._b_bytes))) for after in ",|;"]
 
     def _tokens(self, texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """The texts that both sides give back byte by byte: place, bytes and ids."""
         used = [n for n, t in enumerate(texts) if t]
         a_ids = self._a.ids_of([" " + texts[n] for n in used])
-        b_ids = self._b.encode([texts[n] for n in used], num_threads=1) if used else []
+        b_ids = self._b.ids_of([texts[n] for n in used])
         for n, a, b in zip(used, a_ids, b_ids):
             data = b" " + texts[n].encode()
-            if data == b"".join(map(self._a_bytes.__getitem__, a.tolist())) == b"".join(map(self._b_bytes.__getitem__, b)):
-                yield n, len(data), a, np.array(b, np.int64)
+            if data == b"".join(map(self._a_bytes.__getitem__, a.tolist())) == b"".join(map(self._b_bytes.__getitem__, b.tolist())):
+                yield n, len(data), a, b
 
     def links(self, texts: list[str | None]) -> tuple[dict[str, list], np.ndarray, np.ndarray, np.ndarray]:
         """Digest columns of each text; then the distinct (place, pair) with how often each is linked.
@@ -114,7 +158,7 @@ class Aligner:
         if not tokens:
             return out, *(np.zeros(0, np.int64) for _ in range(3))
         places, sizes, a_ids, b_ids = zip(*tokens)
-        places, a, b = np.array(places), np.concatenate(a_ids).astype(np.int64), np.concatenate(b_ids)
+        places, a, b = np.array(places), np.concatenate(a_ids).astype(np.int64), np.concatenate(b_ids).astype(np.int64)
         a_ends, b_ends = np.cumsum(self._a_size[a]), np.cumsum(self._b_size[b])
         at = np.searchsorted(b_ends, a_ends)
         shared = b_ends[at] == a_ends
