@@ -4,7 +4,9 @@ A suffix automaton of labelled text per language tells how far a text can be mat
 A text is cut greedily into the longest phrases that occur in a language's labelled text; the
 language that needs the fewest phrases, each weighed by the bits that name a place in that labelled
 text, wins. The automata are built from a bounded sample of labelled rows (``DOCUMENTS`` per language, up to
-``LETTERS`` of each) and broadcast: at most languages x 2 x DOCUMENTS x LETTERS states.
+``LETTERS`` of each; fewer per language where there are so many that they would be more than ``TEXTS`` in all) and
+broadcast: at most 2 x TEXTS x LETTERS states. Every letter of the sample is a symbol: steps by the most frequent ones are a
+dense table, those by the others a sorted list of edges, so that scripts of thousands of letters are told apart as well.
 
 Whole texts are parsed. For speed, each text is dealt into lanes of ``LANE`` symbols that step through
 the automata together; a phrase ends at a lane's end, for all languages alike.
@@ -18,8 +20,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from obligato.llm.common import keep_rows, map_rows
 
-DOCUMENTS, LETTERS, LANE = 40, 1000, 256
-MAX_LANGUAGES, MAX_ALPHABET = 64, 64
+DOCUMENTS, TEXTS, LETTERS, LANE = 40, 640, 1000, 256
+#: Symbols with a column of their own: UNKNOWN, BLANK and the most frequent letters.
+DENSE = 64
 UNKNOWN, BLANK = 0, 1
 UND = "und"
 
@@ -30,9 +33,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 class SuffixAutomaton:
-    """All substrings of one text over small integer symbols, as a dense table: next[state, symbol], 0 for none. The root is state 1."""
+    """All substrings of one text of symbols: steps by symbols below ``dense`` as a table (0 for none), by the others as
+    edges (state, symbol, next state). The root is state 1."""
 
-    def __init__(self, symbols: list[int], alphabet: int):
+    def __init__(self, symbols: list[int], dense: int):
         nexts, link, length, last = [{}, {}], [0, 0], [0, 0], 1
         for c in symbols:
             new = len(nexts)
@@ -57,43 +61,48 @@ class SuffixAutomaton:
                         nexts[p][c] = copy
                         p = link[p]
             last = new
-        self.table = np.zeros((len(nexts), alphabet), np.int32)
+        self.table, self.edges = np.zeros((len(nexts), dense), np.int32), []
         for state, edges in enumerate(nexts):
             for c, to in edges.items():
-                self.table[state, c] = to
+                if c < dense:
+                    self.table[state, c] = to
+                else:
+                    self.edges.append((state, c, to))
 
 
 class Model:
-    """The languages' automata in one table, and how code points become symbols."""
+    """The languages' automata in one table and one list of edges, and how code points become symbols."""
 
-    def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS):
-        self.languages = sorted(samples)
+    def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS, dense: int = DENSE):
+        self.languages, self.dense = sorted(samples), dense
         seen: dict[str, int] = {}
         for texts in samples.values():
             for t in texts:
                 for c in t.lower():
                     if c.isalpha():
                         seen[c] = seen.get(c, 0) + 1
-        letters_kept = sorted(seen, key=lambda c: (-seen[c], c))[:MAX_ALPHABET - 2]
-        self.symbol_of_letter = {c: i + 2 for i, c in enumerate(sorted(letters_kept))}
-        self.alphabet, self.table, self.bits, roots = len(letters_kept) + 2, [], [], []
-        lookup, size = code_points(self.symbol_of_letter), 0
+        self.symbol_of_letter = {c: i + 2 for i, c in enumerate(sorted(seen, key=lambda c: (-seen[c], c)))}
+        self.alphabet = len(seen) + 2
+        lookup, size, tables, edges, self.bits, roots = code_points(self.symbol_of_letter), 0, [], [], [], []
         for lang in self.languages:
             # A symbol that no text has stands between the sampled texts.
             symbols = [s for t in samples[lang] for s in [*as_symbols(t, lookup)[:letters].tolist(), UNKNOWN]]
-            own = SuffixAutomaton(symbols, self.alphabet).table
-            own[:, UNKNOWN] = 0
-            self.table.append(np.where(own > 0, own + size, 0).astype(np.int32))
+            own = SuffixAutomaton(symbols, dense)
+            own.table[:, UNKNOWN] = 0
+            tables.append(np.where(own.table > 0, own.table + size, 0).astype(np.int32))
+            edges += [((state + size) * self.alphabet + c, to + size) for state, c, to in own.edges]
             roots.append(size + 1)
-            size += len(own)
+            size += len(own.table)
             self.bits.append(math.log2(len(symbols) + 2))
-        self.table = np.concatenate(self.table) if self.table else np.zeros((1, max(2, self.alphabet)), np.int32)
+        self.table = np.concatenate(tables) if tables else np.zeros((1, dense), np.int32)
+        edges.sort()
+        self.edge, self.edge_to = np.array([e for e, _ in edges], np.int64), np.array([to for _, to in edges], np.int32)
         self.roots, self.bits = np.array(roots, np.int32), np.array(self.bits)
 
 
 def code_points(symbol_of_letter: dict[str, int]) -> np.ndarray:
     """Symbol by code point: learned letters in either case, UNKNOWN for other letters, BLANK for the rest."""
-    lookup = np.full(sys.maxunicode + 1, BLANK, np.uint8)
+    lookup = np.full(sys.maxunicode + 1, BLANK, np.int32)
     for c in range(sys.maxunicode + 1):
         if chr(c).isalpha():
             lookup[c] = symbol_of_letter.get(chr(c).lower(), UNKNOWN)
@@ -109,7 +118,27 @@ def as_symbols(text: str, lookup: np.ndarray) -> np.ndarray:
 class Parser:
     def __init__(self, model: Model):
         self.m, self.lookup = model, code_points(model.symbol_of_letter)
-        self.flat, self.first = model.table.ravel(), model.table[model.roots] if len(model.roots) else None
+        self.flat = model.table.ravel()
+        self.first = model.table[model.roots] if len(model.roots) else None
+
+    def begin(self, symbols: np.ndarray) -> np.ndarray:
+        """As ``step`` from each language's root."""
+        if not len(self.m.edge):
+            return self.first[:, symbols]
+        return self.step(np.repeat(self.m.roots[:, None], len(symbols), axis=1).astype(np.int64), symbols)
+
+    def step(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The states (languages, lanes) that each lane's symbol leads to, 0 for none."""
+        m = self.m
+        if not len(m.edge):
+            return self.flat[state * m.dense + symbols]
+        to = self.flat[state * m.dense + np.where(symbols < m.dense, symbols, UNKNOWN)]
+        rare = np.flatnonzero(symbols >= m.dense)
+        if len(rare):
+            edge = state[:, rare].astype(np.int64) * m.alphabet + symbols[rare]
+            at = np.minimum(np.searchsorted(m.edge, edge), len(m.edge) - 1)
+            to[:, rare] = np.where(m.edge[at] == edge, m.edge_to[at], 0)
+        return to
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Weighed phrases per language and symbol of each text: (texts, languages)."""
@@ -117,28 +146,30 @@ class Parser:
         starts = [(d, i) for d, s in enumerate(symbols) for i in range(0, len(s), LANE)]
         size = np.array([min(LANE, len(symbols[d]) - i) for d, i in starts], np.int64)
         order = np.argsort(-size, kind="stable")  # so that the lanes that still run stand first
-        lanes = np.zeros((LANE, len(starts)), np.uint8)
+        lanes = np.zeros((LANE, len(starts)), np.int32)
         for column, k in enumerate(order):
             d, i = starts[k]
             lanes[:size[k], column] = symbols[d][i:i + LANE]
-        n_lang, alphabet = len(self.m.languages), self.m.alphabet
+        n_lang, roots = len(self.m.languages), self.m.roots[:, None]
         state = np.repeat(self.m.roots[:, None], len(starts), axis=1).astype(np.int64)
         count = np.zeros((n_lang, len(starts)), np.int32)
         running = np.searchsorted(-size[order], -np.arange(LANE), side="left")  # lanes longer than t
         for t in range(int(size.max(initial=0))):
             n = running[t]
             c = lanes[t, :n]
-            to = self.flat[state[:, :n] * alphabet + c]
+            to = self.step(state[:, :n], c)
             ended = to == 0
             count[:, :n] += ended
-            again = self.first[:, c]
-            # A symbol that the language does not know is a phrase by itself.
-            state[:, :n] = np.where(ended, np.where(again == 0, self.m.roots[:, None], again), to)
+            again = self.begin(c)
+            # A symbol that the language does not know is a phrase by itself, beside the one that it ends.
+            lost = ended & (again == 0)
+            if lost.any():
+                count[:, :n] += lost & (state[:, :n] != roots)
+            state[:, :n] = np.where(ended, np.where(again == 0, roots, again), to)
+        count += state != roots  # a phrase that is open at a lane's end
         total = np.zeros((len(texts), n_lang))
         np.add.at(total, np.array([starts[k][0] for k in order], np.int64), count.T)
-        lengths = np.array([max(1, len(s)) for s in symbols])
-        lanes_of = -(-lengths // LANE)
-        return (total + lanes_of[:, None]) * self.m.bits / lengths[:, None]
+        return total * self.m.bits / np.array([max(1, len(s)) for s in symbols])[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and confidence (0 to 1: by how much the runner-up needs more); ``und`` for a text without a letter."""
@@ -154,14 +185,19 @@ class Parser:
 
 
 def learn(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
-    """Learns from a bounded sample of distinct labelled texts: the ``DOCUMENTS`` of each language with the smallest text hashes."""
+    """Learns from a bounded sample of distinct labelled texts: those of each language with the smallest text hashes.
+
+    ``DOCUMENTS`` of each language, or as many as ``TEXTS`` allow for each; of more languages than that, those with the most
+    texts are learned. Null texts, languages and ids are not used, repeated texts count once; without rows nothing is learned.
+    """
     rows = docs.where(~held_out(F.col(doc_id)) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    common = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(TEXTS)
+    languages = [r.lang for r in common.collect()]
+    each = max(1, min(DOCUMENTS, TEXTS // max(len(languages), 1)))
     firsts = Window.partitionBy("lang").orderBy("h")
-    chosen = (rows.groupBy("lang", "h").count().withColumn("rank", F.row_number().over(firsts))
-              .where(F.col("rank") <= DOCUMENTS).select("lang", "h").limit(MAX_LANGUAGES * DOCUMENTS + 1).collect())
-    if len({r.lang for r in chosen}) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    chosen = (rows.where(F.col("lang").isin(languages)).groupBy("lang", "h").count().withColumn("rank", F.row_number().over(firsts))
+              .where(F.col("rank") <= each).select("lang", "h").collect())
     wanted = {(r.lang, r.h) for r in chosen}
     # One text per chosen hash, no longer than the sample can use.
     texts = (rows.where(F.col("h").isin([h for _, h in wanted])).groupBy("lang", "h")
@@ -196,7 +232,10 @@ def identify(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str
 
 
 def keep_identified(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
-    """The documents, all columns unchanged, whose language is found; those that come out as ``und`` go."""
+    """The documents, all columns unchanged, whose language is found; those that come out as ``und`` go.
+
+    Null texts and texts without a letter go, null ids and repeated rows stay; columns may have any name; no rows give no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
