@@ -168,8 +168,9 @@ def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = SEQ
     """
     spark = docs.sparkSession
     cut = materialized(cut_documents(ids_and_texts(docs, doc_id, text), path, capacity, end))
+    # Salts deal the stored rows in turn, so that equal rows are spread as well.
     salts = max(32, -(-cut.count() // 5000))
-    cut = cut.select("*", F.pmod(F.xxhash64("doc_id", F.col("crcs")[0]), F.lit(salts)).alias("salt"),
+    cut = cut.select("*", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).alias("salt"),
                      F.expr(f"doc_tokens div {capacity}").alias("full"), (F.col("doc_tokens") % capacity).alias("rest"))
     before = lambda *by: Window.partitionBy(*by)
 
