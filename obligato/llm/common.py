@@ -75,6 +75,11 @@ def keep_rows(rows: DataFrame, make: Callable[[], Callable[[dict], list[bool]]])
     return rows.mapInArrow(run, rows.schema)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns, whatever their names, as one struct."""
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in docs.columns])
+
+
 def ids_and_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Only the two columns an operator reads, under fixed names: other columns cannot clash."""
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from obligato.llm.common import arrow_schema, ddl, ids_and_texts, map_rows, materialized, sha256, slices
+from obligato.llm.common import arrow_schema, ddl, ids_and_texts, map_rows, materialized, sha256, slices, whole_row
 
 MIN_CHARS, MIN_DOCUMENTS = 20, 3
 BITS_PER_LINE, MIN_BITS, MAX_BITS = 8, 1 << 16, 1 << 30
@@ -195,20 +195,21 @@ def line_digests(docs: DataFrame) -> DataFrame:
 
 
 def rewrite_documents(docs: DataFrame) -> DataFrame:
-    """The documents with the lines that stay as their text and n_chars of it; the other columns are unchanged.
+    """The documents with the lines that stay as their text and n_chars of it; the other columns are unchanged, whatever their names.
 
-    A null text stays null.
+    A null text stays null; null ids and repeated rows as in ``dedup_lines``; no rows give no rows.
     """
-    joined = _with_lost_keys(docs, ids_and_texts(docs, "doc_id", "text"))
+    whole = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    joined = _with_lost_keys(whole, ids_and_texts(docs, "doc_id", "text"))
     names = docs.columns
 
     def run(batches):
         for part in slices(batches):
-            columns = {name: part.column(name) for name in names}
+            columns = dict(zip(names, part.column("row").flatten()))
             texts = [t if t is None else without(t, k)[2] for t, k in zip(columns["text"].to_pylist(), part.column("_keys").to_pylist())]
             columns["text"] = pa.array(texts, pa.string())
             if "n_chars" in columns:
                 columns["n_chars"] = pa.array([t if t is None else len(t) for t in texts], pa.int64()).cast(columns["n_chars"].type)
             yield pa.RecordBatch.from_pydict(columns)
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.select("row", "_keys").mapInArrow(run, docs.schema)

@@ -21,6 +21,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from obligato.llm.common import whole_row
+
 KINDS = ["assign", "access", "hex", "random"]
 # The base patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -336,7 +338,7 @@ def redact(docs: DataFrame, ratios: list[float] | None = None) -> DataFrame:
     any name; no rows give no rows.
     """
     ratios = ratios if ratios is not None else train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    rows = with_spans(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.coalesce("text", F.lit("")).alias("t")), ratios)
+    rows = with_spans(docs.select(whole_row(docs).alias("_row"), F.coalesce("text", F.lit("")).alias("t")), ratios)
     rows = rows.withColumn("_spans", in_order(*KINDS))
     # A span that begins within what is already replaced only extends it.
     replaced = _cut(F.col("t"), F.col("_spans"), lambda s, before: F.when((s["start"] >= before), F.lit(REPLACEMENT)).otherwise(F.lit("")))

@@ -16,9 +16,9 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from obligato.llm.common import ids_and_texts, map_rows, materialized
+from obligato.llm.common import ids_and_texts, map_rows, materialized, whole_row
 from obligato.llm.components import connected_components
 
 SHINGLE_WORDS, MAX_DISTANCE, SEED = 3, 2, 42
@@ -120,7 +120,28 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max
 
 
 def keep_one_of_each(docs: DataFrame, words_per_shingle: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The documents, all columns unchanged, without those that have a near-duplicate with a smaller id (rows of one id are one document)."""
-    kept = near_duplicates(docs, words_per_shingle, max_distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    """The documents, all columns unchanged, with one row of each group of near-duplicates: that of the smallest doc_id.
+
+    Rows are decided one by one: of rows of one id the least by its text's digest stays, of equal rows (id and text) any one,
+    and a row without an id only where its group has no id at all. Null and empty texts are near-duplicates of each other;
+    columns may have any name; no rows give no rows. One shuffle of the texts, before which a task keeps one of its equal rows.
+    """
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+
+    def make():
+        return lambda rows: {"doc_id": rows["doc_id"], "digest": rows["digest"],
+                             "fp": [f - (f >> 63 << 64) for f in (fingerprint(t, words_per_shingle) for t in rows["text"])]}
+
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest.alias("digest"))
+    prints = materialized(map_rows(ids, {"doc_id": "long", "digest": "string", "fp": "long"}, make))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "digest")
+    distinct = materialized(prints.groupBy("fp").agg(F.min(place).alias("first")))
+    joined = connected_components(links(distinct.select("fp"), max_distance)).withColumnRenamed("node", "fp")
+    named = distinct.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    kept = named.groupBy("component").agg(F.min("first").alias("first")).select("first.*")
+
+    keys = ["no_id", "id", "digest"]
+    rows = docs.select(whole_row(docs).alias("row"), F.col("doc_id").isNull().alias("no_id"),
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), digest.alias("digest"))
+    once = rows.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("digest"))).where("n = 1")
+    return once.join(kept, keys, "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
