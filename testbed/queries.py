@@ -138,7 +138,7 @@ def gate_counts(spark, sf_dir):
 
 
 def _all_gates(spark, sf_dir) -> DataFrame:
-    m = Models(spark, sf_dir)
+    m = Models(spark, sf_dir, store=("raw_awards", "raw_transactions", "raw_award_details"))
     return together([ingest.gate_awards(m.raw_awards), ingest.gate_transactions(m.raw_transactions),
                      ingest.gate_details(m.raw_award_details)])
 
@@ -182,11 +182,13 @@ def exact_dedupe(spark, sf_dir):
 
 def audit_results(spark, sf_dir):
     """The audit of models spoiled so that every data test finds rows: repeated awards, odd statuses, ended periods."""
-    m, k = Models(spark, sf_dir, store=("fact",)), _order_of()
+    # Stored as a run stores them, so that the given tables are read once each.
+    m, k = Models(spark, sf_dir, store=("awards", "transactions", "fact")), _order_of()
     fact = m.fact.withColumn("status", F.when(k % 67 == 0, "lost").otherwise(F.col("status")))
     fact = fact.select("*", F.explode(F.when(k % 61 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
     ended = F.when(k % 7 == 0, F.date_sub("as_of_date", 1)).otherwise(F.col("end_date"))
-    return audit.audit_results(fact, m.niche_obligations, m.recompetes.withColumn("end_date", ended), m.awards)
+    return audit.audit_results(fact, m.niche_obligations, m.recompetes.withColumn("end_date", ended), m.awards,
+                               landed.fixed.NICHE_SIZE)
 
 
 def reconcile_totals(spark, sf_dir):
@@ -393,6 +395,38 @@ def publish_steps(spark, sf_dir):
                                        "history_rows bigint, event_rows bigint, refused int")
 
 
+def load_all_or_nothing(spark, sf_dir):
+    """Loads that fail one gate leave all three raw tables as they were: before the first good load and after it."""
+    store, seen = DayStore(spark, f"{shared_folder(spark)}/load-{uuid.uuid4().hex}"), []
+    awards, lines, details = _clean_pull(spark, sf_dir, AS_OF)
+    pulls = {"details missing": (awards, lines, details.where(_order_of() % 5 > 0)), "good": (awards, lines, details),
+             "keys repeated": (awards.unionByName(awards.withColumn("award_amount", F.lit(-1.0))), lines, details),
+             "no awards": (awards.limit(0), lines, details)}
+    for name, pull in pulls.items():
+        try:
+            ingest.load_day(store, AS_OF, *pull)
+            refused = 0
+        except ingest.ValidationError:
+            refused = 1
+        seen += [(name, refused, table, store.read(table).count() if store.days(table) else 0) for table in store.schemas]
+    return spark.createDataFrame(seen, "pull string, refused int, table_name string, rows bigint")
+
+
+def views_follow_publish(spark, sf_dir):
+    """Rows of the views in a session that was opened before the second of two publishes."""
+    store, warehouse = _warehouse(spark)
+    for day in DAYS[1:]:
+        awards, lines, details = _clean_pull(spark, sf_dir, day)
+        ingest.load_day(store, day, awards, lines.join(awards.select("award_key"), "award_key", "left_semi"), details)
+    publish.refresh(store, warehouse, None, (1, 10**12), as_of=DAYS[1])
+    reader = spark.newSession()
+    names = [*publish.MODELS, *publish.DASHBOARDS, publish.EVENTS_VIEW]
+    before = {name: reader.sql(f"SELECT count(*) FROM {name}").first()[0] for name in names}
+    publish.refresh(store, warehouse, None, (1, 10**12))
+    rows = [(name, before[name], reader.sql(f"SELECT count(*) FROM {name}").first()[0]) for name in names]
+    return spark.createDataFrame(rows, "view string, rows_before bigint, rows_after bigint")
+
+
 def history_rerun(spark, sf_dir):
     """Three days appended to a stored history, the last one twice."""
     store = history.history_store(spark, f"{shared_folder(spark)}/history-{uuid.uuid4().hex}")
@@ -501,6 +535,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_vendors_3y": distinct_vendors_3y,
     "publish_roundtrip": publish_roundtrip,
     "publish_steps": publish_steps,
+    "load_all_or_nothing": load_all_or_nothing,
+    "views_follow_publish": views_follow_publish,
     "history_rerun": history_rerun,
     "history_intervals": history_intervals,
     "history_from_intervals": history_from_intervals,
