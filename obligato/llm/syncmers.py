@@ -9,12 +9,14 @@ order in both texts; the n-th place of a hash in one text is matched with its n-
 """
 
 from bisect import bisect_left
+from itertools import accumulate
+from math import nextafter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from obligato.llm.common import arrow_schema, ddl, ids_and_texts, sha256, slices
 
@@ -145,32 +147,73 @@ def fingerprint_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str
     return ids_and_texts(docs, doc_id, text).mapInArrow(run, ddl(schema))
 
 
+def _text_number(text: Column) -> Column:
+    """The first six bytes as a number: texts in order have their numbers in order."""
+    return F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+
+
+def _cuts_of_hot_ids(docs: DataFrame, parts: int) -> dict[int | None, list[float]]:
+    """For ids (also NULL) of more rows than two parts should have, numbers of texts at which their rows are cut."""
+    counts = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    # Fewer than parts / 2 of them. Larger ids than a double tells apart are left whole.
+    hot = [r for r in counts.where(F.col("n") * parts > total * 2).select("doc_id", (F.col("n") * parts / total).alias("share")).collect()
+           if r.doc_id is None or abs(r.doc_id) < 1 << 53]
+    if not hot:
+        return {}
+    steps = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    chosen = F.col("doc_id").isin([r.doc_id for r in hot if r.doc_id is not None])
+    rows = docs.where(F.coalesce(chosen, F.lit(False)) | (F.col("doc_id").isNull() if any(r.doc_id is None for r in hot) else F.lit(False)))
+    found = {r.doc_id: r.cuts for r in rows.groupBy("doc_id").agg(F.percentile_approx(_text_number(F.col("text")), steps).alias("cuts")).collect()}
+    out = {}
+    for r in hot:
+        wanted = max(1, round(r.share))
+        out[r.doc_id] = sorted({found[r.doc_id][i * (parts - 1) // wanted] for i in range(1, wanted)})
+    return out
+
+
 def in_descending_parts(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows (doc_id, text) in ranges of descending doc_id, one per partition and sorted, each followed by its successor.
+    """Rows (doc_id, text; texts not null) in ranges of descending doc_id, then text, one per partition and sorted, each
+    followed by its successor.
 
-    Adds ``extra``: the first rows of the next range (after the last: of the first), copied so that every row
-    has its successor beside it. Ranges are cut at quantiles of the ids; null ids come last. One
-    shuffle of the texts; at most one id per range is copied.
+    Adds ``extra``: the first row of the next range (after the last: of the first), copied so that every row
+    has its successor beside it. Ranges are cut at quantiles of the ids; null ids come last. The rows of an id that has too
+    many for one range are cut by their texts' first bytes; rows that are equal there stay together. One shuffle of the texts.
     """
+    hot = _cuts_of_hot_ids(docs, parts) if parts > 1 else {}
     ids = docs.select("doc_id").where("doc_id IS NOT NULL")
     cuts = ids.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
-    splits = [-float("inf"), *sorted(set(map(float, cuts or [0]))), float("inf")]
-    # Cuts are compared as doubles: for very large ids less exact, but still in order.
-    part = lambda rows: Bucketizer(splits=splits, inputCol="_x", outputCol="_bucket", handleInvalid="keep").transform(
-        rows.withColumn("_x", F.col("doc_id").cast("double"))).withColumn(
-        "part", F.when(F.col("doc_id").isNull(), len(splits) - 1).otherwise(len(splits) - 2 - F.col("_bucket").cast("int"))).drop("_x", "_bucket")
+    own = [float(i) for i in hot if i is not None]
+    splits = [-float("inf"), *sorted({*map(float, cuts or [0]), *own, *[nextafter(i, float("inf")) for i in own]}), float("inf")]
+    # Buckets from the largest ids on, the one without ids last; a hot id has one for itself, of several ranges.
+    bounds = list(zip(splits, splits[1:]))[::-1]
+    cuts_of = [hot.get(int(a), []) if a in own else [] for a, _ in bounds] + [hot.get(None, [])]
+    first = [0, *accumulate(len(c) + 1 for c in cuts_of)]
+
+    def part(rows: DataFrame) -> DataFrame:
+        # Cuts are compared as doubles: for very large ids less exact, but still in order.
+        placed = Bucketizer(splits=splits, inputCol="_x", outputCol="_bucket", handleInvalid="keep").transform(
+            rows.withColumn("_x", F.col("doc_id").cast("double")))
+        bucket = F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(len(bounds) - 1 - F.col("_bucket").cast("int"))
+        at = F.element_at(F.array(*map(F.lit, first)), bucket + 1)
+        if any(cuts_of):
+            own_cuts = F.element_at(F.array(*[F.array(*map(F.lit, c)).cast("array<double>") for c in cuts_of]), bucket + 1)
+            number = _text_number(F.col("text"))
+            at = at + F.when(F.size(own_cuts) > 0, F.size(F.filter(own_cuts, lambda c: c <= number))).otherwise(0)
+        return placed.withColumn("part", at).drop("_x", "_bucket")
+
     order = F.coalesce("doc_id", F.lit(_LAST_ID))
-    heads = {r.part: r.head for r in part(docs.select("doc_id")).groupBy("part").agg(F.max(order).alias("head")).collect()}
+    heads = {r.part: r.head for r in part(docs).groupBy("part").agg(F.max(order).alias("head")).collect()}
     if not heads:
         return docs.select(F.lit(0).alias("part"), F.lit(False).alias("extra"), "*")
     used = sorted(heads)
     before = {p: used[i - 1] for i, p in enumerate(used)}
-    of = lambda values: F.element_at(F.array(*[F.lit(values.get(p)) for p in range(len(splits))]), F.col("part") + 1)
-    own = F.struct(F.col("part"), F.lit(False).alias("extra"))
-    copy = F.struct(of(before).cast("int").alias("part"), F.lit(True).alias("extra"))
-    both = part(docs).withColumn("to", F.explode(F.when(order == of(heads), F.array(own, copy)).otherwise(F.array(own))))
-    return (both.select("to.part", "to.extra", "doc_id", "text").repartitionById(len(splits), F.col("part"))
-            .sortWithinPartitions("extra", order.desc(), "text"))
+    of = lambda values: F.element_at(F.array(*[F.lit(values.get(p)) for p in range(first[-1])]), F.col("part") + 1)
+    copies = part(docs).where(order == of(heads)).groupBy("part").agg(F.max("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    both = part(docs).select("part", F.lit(False).alias("extra"), "doc_id", "text").unionByName(
+        copies.select(of(before).cast("int").alias("part"), F.lit(True).alias("extra"), "doc_id", "text"))
+    return (both.repartitionById(first[-1], F.col("part"))
+            .sortWithinPartitions("extra", F.coalesce("doc_id", F.lit(_LAST_ID)).desc(), "text"))
 
 
 def compare_with_edits(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,5 +255,5 @@ def compare_with_edits(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
                     break
             yield record(rows)
 
-    rows = ids_and_texts(docs, doc_id, text)
+    rows = ids_and_texts(docs, doc_id, text).withColumn("text", F.coalesce("text", F.lit("")))
     return in_descending_parts(rows, parts).drop("part").mapInArrow(run, ddl(schema))

@@ -6,7 +6,7 @@ import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from obligato.llm import line_dedup, packing, secrets, simhash, token_files
+from obligato.llm import line_dedup, packing, secrets, simhash, syncmers, token_files
 
 N = 6000
 KINDS = {"a third without id": "IF(id % 3 = 0, NULL, id)", "one id": "7", "equal rows": "IF(id % 3 = 0, NULL, id)"}
@@ -48,6 +48,19 @@ def test_packing_salts_are_even(spark, kind, monkeypatch):
     assert even([r["count"] for r in salted.collect()])
 
 
+@pytest.mark.parametrize("kind", ["a third without id", "one id"])
+def test_successors_of_hot_ids_are_spread(spark, kind):
+    docs = rows(spark, kind).withColumn("text", F.concat(F.substring(F.md5("text"), 1, 12), F.lit(" "), "text")).cache()
+    parts = syncmers.in_descending_parts(docs, 16)
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) <= N + 40 and even(sizes)
+    order = sorted(map(tuple, docs.collect()), key=lambda r: (-(r[0] if r[0] is not None else -1 << 63), r[1]))
+    want = {(i, t): order[(k + 1) % N][1] for k, (i, t) in enumerate(order)}
+    shown = parts.select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("n"), "extra", "doc_id", "text").orderBy("n").collect()
+    got = {(a.doc_id, a.text): b.text for a, b in zip(shown, shown[1:]) if a.p == b.p and not a.extra}
+    assert got == want
+
+
 TEXT = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty"
 NAMES = ["_id", "_keys", "_digest", "_kept", "_row", "row", "digest", "id", "no_id", "n", "t", "key", "fp", "kept keys.x"]
 
