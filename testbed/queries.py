@@ -176,7 +176,7 @@ def exact_dedupe(spark, sf_dir):
     order = F.substring_index("award_key", "_", -1).cast("bigint")
     twice = F.when(order % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     repeated = pull.select("*", F.explode(twice).alias("copy")).drop("copy")
-    return ingest.exact_dedupe(repeated).select(
+    return ingest.exact_dedupe(repeated, lambda name, rows: stored(spark, rows, name)).select(
         "snapshot_date", "award_key", "modification_number", "action_date", "obligation_amount", "recipient_uei")
 
 
