@@ -74,7 +74,7 @@ class Model:
     """The languages' automata in one table and one list of edges, and how code points become symbols."""
 
     def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS, dense: int = DENSE):
-        self.languages, self.dense = sorted(samples), dense
+        self.languages = sorted(samples)
         seen: dict[str, int] = {}
         for texts in samples.values():
             for t in texts:
@@ -83,6 +83,7 @@ class Model:
                         seen[c] = seen.get(c, 0) + 1
         self.symbol_of_letter = {c: i + 2 for i, c in enumerate(sorted(seen, key=lambda c: (-seen[c], c)))}
         self.alphabet = len(seen) + 2
+        self.dense = dense = min(dense, self.alphabet)
         lookup, size, tables, edges, self.bits, roots = code_points(self.symbol_of_letter), 0, [], [], [], []
         for lang in self.languages:
             # A symbol that no text has stands between the sampled texts.
@@ -102,7 +103,7 @@ class Model:
 
 def code_points(symbol_of_letter: dict[str, int]) -> np.ndarray:
     """Symbol by code point: learned letters in either case, UNKNOWN for other letters, BLANK for the rest."""
-    lookup = np.full(sys.maxunicode + 1, BLANK, np.int32)
+    lookup = np.full(sys.maxunicode + 1, BLANK, np.min_scalar_type(len(symbol_of_letter) + 2))
     for c in range(sys.maxunicode + 1):
         if chr(c).isalpha():
             lookup[c] = symbol_of_letter.get(chr(c).lower(), UNKNOWN)
@@ -146,7 +147,7 @@ class Parser:
         starts = [(d, i) for d, s in enumerate(symbols) for i in range(0, len(s), LANE)]
         size = np.array([min(LANE, len(symbols[d]) - i) for d, i in starts], np.int64)
         order = np.argsort(-size, kind="stable")  # so that the lanes that still run stand first
-        lanes = np.zeros((LANE, len(starts)), np.int32)
+        lanes = np.zeros((LANE, len(starts)), self.lookup.dtype)
         for column, k in enumerate(order):
             d, i = starts[k]
             lanes[:size[k], column] = symbols[d][i:i + LANE]
