@@ -199,17 +199,19 @@ def rewrite_documents(docs: DataFrame) -> DataFrame:
 
     A null text stays null; null ids and repeated rows as in ``dedup_lines``; no rows give no rows.
     """
-    whole = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # The text travels once, beside the other columns.
+    rest = docs.drop("text")
+    whole = docs.select(whole_row(rest).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     joined = _with_lost_keys(whole, ids_and_texts(docs, "doc_id", "text"))
-    names = docs.columns
+    names, others = docs.columns, rest.columns
 
     def run(batches):
         for part in slices(batches):
-            columns = dict(zip(names, part.column("row").flatten()))
-            texts = [t if t is None else without(t, k)[2] for t, k in zip(columns["text"].to_pylist(), part.column("_keys").to_pylist())]
+            columns = dict(zip(others, part.column("row").flatten()))
+            texts = [t if t is None else without(t, k)[2] for t, k in zip(part.column("text").to_pylist(), part.column("_keys").to_pylist())]
             columns["text"] = pa.array(texts, pa.string())
             if "n_chars" in columns:
                 columns["n_chars"] = pa.array([t if t is None else len(t) for t in texts], pa.int64()).cast(columns["n_chars"].type)
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict({name: columns[name] for name in names})
 
-    return joined.select("row", "_keys").mapInArrow(run, docs.schema)
+    return joined.select("row", "text", "_keys").mapInArrow(run, docs.schema)
