@@ -31,6 +31,7 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 8192, 65536
 BLOCK_DOCUMENTS, BLOCK_BYTES = 1000, 1 << 20
+FIRST_CHARS = 32
 REMEMBERED_WORDS = 500_000
 _LETTER, _MARK, _SPACE = (np.isin(np.arange(256), list(x)) for x in (b"abcdefghijklmnopqrstuvwxyz", b".,;:!?", b" \t\n\x0b\x0c\r"))
 
@@ -128,7 +129,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, *,
     """Writes the ids of all whole texts in ascending doc_id order.
 
     Null and empty texts are written as the end id alone; null ids come first; repeated rows are
-    written each (equal ids by their texts' hashes); other columns are not read; an empty table gives files without
+    written each (equal ids by their texts' first ``FIRST_CHARS``, then by hash); other columns are not read; an empty table gives files without
     blocks. Rows are dealt by doc_id ranges, so each task streams its share and holds one block.
     """
     path = path or public_tokenizers.path(WORD_VOCABULARY)
@@ -161,10 +162,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, *,
         if ids:
             yield flush()
 
-    # Rows of one id, or without one, are dealt by their texts' hashes, and equal rows by their places.
-    order = ["doc_id", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("place")]
-    dealt = docs.select("*", *order[1:]).repartitionByRange("doc_id", "hash", "place")
-    ordered = dealt.sortWithinPartitions("doc_id", "hash", "place").select("doc_id", "text")
+    # Rows of one id, or without one, are dealt by the beginnings of their texts, and equal rows by their places.
+    keys = {"first": F.substring("text", 1, FIRST_CHARS), "hash": F.xxhash64("text"), "place": F.monotonically_increasing_id()}
+    dealt = docs.withColumns(keys).repartitionByRange("doc_id", *keys)
+    ordered = dealt.sortWithinPartitions("doc_id", *keys).select("doc_id", "text")
     ordered.mapInArrow(pack, ddl(_BLOCKS)).write.option("compression", "none").parquet(f"{folder}/blocks")
 
 
