@@ -25,7 +25,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 #: Distinct fragments remembered by a Python worker; the memory is emptied when it is full.
-REMEMBERED_FRAGMENTS = 500_000
+REMEMBERED_FRAGMENTS = 200_000
 
 # Last bytes of the white-space characters beyond ASCII, and the bytes before those.
 _WIDE_SPACE_ENDS = [0x85, 0xA0, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F]
