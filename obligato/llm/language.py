@@ -33,10 +33,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 class SuffixAutomaton:
-    """All substrings of one text of symbols: steps by symbols below ``dense`` as a table (0 for none), by the others as
-    edges (state, symbol, next state). The root is state 1."""
+    """All substrings of one text over symbols below ``alphabet``, as edges: state, symbol, next state. The root is state 1."""
 
-    def __init__(self, symbols: list[int], dense: int):
+    def __init__(self, symbols: list[int], alphabet: int):
         nexts, link, length, last = [{}, {}], [0, 0], [0, 0], 1
         for c in symbols:
             new = len(nexts)
@@ -61,17 +60,20 @@ class SuffixAutomaton:
                         nexts[p][c] = copy
                         p = link[p]
             last = new
-        self.table, self.edges = np.zeros((len(nexts), dense), np.int32), []
-        for state, edges in enumerate(nexts):
-            for c, to in edges.items():
-                if c < dense:
-                    self.table[state, c] = to
-                else:
-                    self.edges.append((state, c, to))
+        self.alphabet, self.states = alphabet, len(nexts)
+        edges = [(state, c, to) for state, steps in enumerate(nexts) for c, to in steps.items()]
+        self.state, self.symbol, self.to = np.array(edges, np.int64).reshape(-1, 3).T
+
+    @property
+    def table(self) -> np.ndarray:
+        """next[state, symbol], 0 for none."""
+        table = np.zeros((self.states, self.alphabet), np.int32)
+        table[self.state, self.symbol] = self.to
+        return table
 
 
 class Model:
-    """The languages' automata in one table and one list of edges, and how code points become symbols."""
+    """The languages' automata as edges, and how code points become symbols. A ``Parser`` makes a table of the frequent ones."""
 
     def __init__(self, samples: dict[str, list[str]], letters: int = LETTERS, dense: int = DENSE):
         self.languages = sorted(samples)
@@ -84,21 +86,27 @@ class Model:
         self.symbol_of_letter = {c: i + 2 for i, c in enumerate(sorted(seen, key=lambda c: (-seen[c], c)))}
         self.alphabet = len(seen) + 2
         self.dense = dense = min(dense, self.alphabet)
-        lookup, size, tables, edges, self.bits, roots = code_points(self.symbol_of_letter), 0, [], [], [], []
+        lookup, self.states, self.bits, self.sizes = code_points(self.symbol_of_letter), 0, [], []
+        state, symbol, to = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lang in self.languages:
             # A symbol that no text has stands between the sampled texts.
             symbols = [s for t in samples[lang] for s in [*as_symbols(t, lookup)[:letters].tolist(), UNKNOWN]]
-            own = SuffixAutomaton(symbols, dense)
-            own.table[:, UNKNOWN] = 0
-            tables.append(np.where(own.table > 0, own.table + size, 0).astype(np.int32))
-            edges += [((state + size) * self.alphabet + c, to + size) for state, c, to in own.edges]
-            roots.append(size + 1)
-            size += len(own.table)
+            own = SuffixAutomaton(symbols, self.alphabet)
+            known = own.symbol != UNKNOWN
+            state.append(own.state[known] + self.states)
+            symbol.append(own.symbol[known])
+            to.append(own.to[known])
+            self.sizes.append(own.states)
+            self.states += own.states
             self.bits.append(math.log2(len(symbols) + 2))
-        self.table = np.concatenate(tables) if tables else np.zeros((1, dense), np.int32)
-        edges.sort()
-        self.edge, self.edge_to = np.array([e for e, _ in edges], np.int64), np.array([to for _, to in edges], np.int32)
-        self.roots, self.bits = np.array(roots, np.int32), np.array(self.bits)
+        state, symbol, to = (np.concatenate(x) for x in (state, symbol, to))
+        common = symbol < dense
+        self.place, self.place_to = (state * dense + symbol)[common].astype(np.int32), to[common].astype(np.int32)
+        edge, edge_to = (state * self.alphabet + symbol)[~common], to[~common].astype(np.int32)
+        order = np.argsort(edge)
+        self.edge, self.edge_to = edge[order], edge_to[order]
+        #: Where each language's states begin; steps name states within their language, whose root is 1.
+        self.begins, self.bits = np.cumsum([0, *self.sizes])[:-1], np.array(self.bits)
 
 
 def code_points(symbol_of_letter: dict[str, int]) -> np.ndarray:
@@ -119,24 +127,27 @@ def as_symbols(text: str, lookup: np.ndarray) -> np.ndarray:
 class Parser:
     def __init__(self, model: Model):
         self.m, self.lookup = model, code_points(model.symbol_of_letter)
-        self.flat = model.table.ravel()
-        self.first = model.table[model.roots] if len(model.roots) else None
+        # Two bytes a step where no language has more states than they can name.
+        self.flat = np.zeros(max(model.states, 1) * model.dense, np.uint16 if max(model.sizes, default=0) < 1 << 16 else np.int32)
+        self.flat[model.place] = model.place_to
+        self.begins = model.begins[:, None]
+        self.first = self.flat.reshape(-1, model.dense)[model.begins + 1] if len(model.begins) else None
 
     def begin(self, symbols: np.ndarray) -> np.ndarray:
         """As ``step`` from each language's root."""
         if not len(self.m.edge):
             return self.first[:, symbols]
-        return self.step(np.repeat(self.m.roots[:, None], len(symbols), axis=1).astype(np.int64), symbols)
+        return self.step(np.ones((len(self.begins), len(symbols)), np.int64), symbols)
 
     def step(self, state: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The states (languages, lanes) that each lane's symbol leads to, 0 for none."""
-        m = self.m
+        m, state = self.m, state + self.begins
         if not len(m.edge):
             return self.flat[state * m.dense + symbols]
         to = self.flat[state * m.dense + np.where(symbols < m.dense, symbols, UNKNOWN)]
         rare = np.flatnonzero(symbols >= m.dense)
         if len(rare):
-            edge = state[:, rare].astype(np.int64) * m.alphabet + symbols[rare]
+            edge = state[:, rare] * m.alphabet + symbols[rare]
             at = np.minimum(np.searchsorted(m.edge, edge), len(m.edge) - 1)
             to[:, rare] = np.where(m.edge[at] == edge, m.edge_to[at], 0)
         return to
@@ -151,8 +162,8 @@ class Parser:
         for column, k in enumerate(order):
             d, i = starts[k]
             lanes[:size[k], column] = symbols[d][i:i + LANE]
-        n_lang, roots = len(self.m.languages), self.m.roots[:, None]
-        state = np.repeat(self.m.roots[:, None], len(starts), axis=1).astype(np.int64)
+        n_lang, root = len(self.m.languages), 1
+        state = np.full((n_lang, len(starts)), root, np.int64)
         count = np.zeros((n_lang, len(starts)), np.int32)
         running = np.searchsorted(-size[order], -np.arange(LANE), side="left")  # lanes longer than t
         for t in range(int(size.max(initial=0))):
@@ -165,9 +176,9 @@ class Parser:
             # A symbol that the language does not know is a phrase by itself, beside the one that it ends.
             lost = ended & (again == 0)
             if lost.any():
-                count[:, :n] += lost & (state[:, :n] != roots)
-            state[:, :n] = np.where(ended, np.where(again == 0, roots, again), to)
-        count += state != roots  # a phrase that is open at a lane's end
+                count[:, :n] += lost & (state[:, :n] != root)
+            state[:, :n] = np.where(ended, np.where(again == 0, root, again), to)
+        count += state != root  # a phrase that is open at a lane's end
         total = np.zeros((len(texts), n_lang))
         np.add.at(total, np.array([starts[k][0] for k in order], np.int64), count.T)
         return total * self.m.bits / np.array([max(1, len(s)) for s in symbols])[:, None]

@@ -65,4 +65,4 @@ def test_more_languages_than_the_sample_has_room_for(spark, monkeypatch):
     rows = [(100 * k + i, " ".join([chr(97 + k) * 3] * (i % 7 + 1)), f"l{k}") for k in range(9) for i in range(12 - k)]
     model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert model.languages == [f"l{k}" for k in range(6)]
-    assert len(model.table) <= 2 * 6 * language.LETTERS
+    assert model.states <= 2 * 6 * (language.LETTERS + 1)
