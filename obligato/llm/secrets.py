@@ -293,7 +293,10 @@ def with_spans(rows: DataFrame, ratios: list[float]) -> DataFrame:
         placed = F.zip_with(items, ends, lambda item, end: F.struct((end - item["length"]).alias("start"), item["run"].alias("run")))
         return F.filter(placed, lambda hit: hit["run"].isNotNull())
 
-    rows = rows.withColumn("_hits", _let(F.col("_items"), hits))
+    # Most texts have runs but no stretch; their runs need no places.
+    none = F.array().cast("array<struct<start:int,run:string>>")
+    rows = rows.withColumn("_hits", _let(F.col("_items"), lambda items: F.when(
+        F.exists(items, lambda item: item["run"].isNotNull()), hits(items)).otherwise(none)))
 
     def spans(hit: Column) -> Column:
         own = _merged(F.transform(_stretches(_steps(hit["run"]), table), lambda s: _widened(hit["run"], s)))
