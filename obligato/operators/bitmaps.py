@@ -1,15 +1,15 @@
 """Distinct counts that merge: exact bitmaps over dictionary codes.
 
 A distinct count cannot be added up. A bitmap of the values' codes can: bitmaps of groups are OR-ed into those of
-any wider group, and only the bits are counted. Bitmaps are kept in buckets of 32,768 codes, so a group takes
-one row per bucket that it has a value in, whatever the number of its rows.
+any wider group, and only the bits are counted. Bitmaps are kept in buckets of 64 codes, each one number, so a group
+takes one row per bucket that it has a value in: never more than it has distinct values, however few of the codes those are.
 """
 
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-BUCKET_CODES = 32_768
+BUCKET_CODES = 64
 BUCKET, BITS = "_bucket", "_bits"
 
 
@@ -33,18 +33,18 @@ def bitmaps(rows: DataFrame, groups: list[str], column: str, dictionary: DataFra
     Values are made distinct per group before they meet the dictionary, so that a frequent value is one row of a group.
     """
     pairs = rows.select(*groups, column).where(F.col(column).isNotNull()).distinct()
-    return pairs.join(dictionary, column).groupBy(*groups, F.bitmap_bucket_number("code").alias(BUCKET)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias(BITS))
+    return pairs.join(dictionary, column).groupBy(*groups, F.expr(f"(code - 1) DIV {BUCKET_CODES}").alias(BUCKET)).agg(
+        F.bit_or(F.expr(f"SHIFTLEFT(1L, CAST((code - 1) % {BUCKET_CODES} AS INT))")).alias(BITS))
 
 
 def merged(sets: DataFrame, by: list[str]) -> DataFrame:
     """The bitmaps of wider groups."""
-    return sets.groupBy(*by, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
+    return sets.groupBy(*by, BUCKET).agg(F.bit_or(BITS).alias(BITS))
 
 
 def counted(sets: DataFrame, by: list[str], name: str) -> DataFrame:
     """How many distinct values each of these (wider) groups has; without groups, one row, also of nothing."""
-    return merged(sets, by).groupBy(*by).agg(F.coalesce(F.sum(F.bitmap_count(BITS)), F.lit(0)).cast("bigint").alias(name))
+    return merged(sets, by).groupBy(*by).agg(F.coalesce(F.sum(F.bit_count(BITS)), F.lit(0)).cast("bigint").alias(name))
 
 
 def roll_ups(sets: DataFrame, levels: dict[str, list[str]], groups: list[str], name: str) -> DataFrame:
@@ -62,6 +62,6 @@ def trailing(sets: DataFrame, by: list[str], step: str, width: int, name: str) -
     shifts = F.explode(F.sequence(F.lit(0), F.lit(width - 1)))
     spread = sets.select(*by, F.col(step).alias("_own"), BUCKET, BITS, shifts.alias("_shift")).select(
         *by, (F.col("_own") + F.col("_shift")).cast(dict(sets.dtypes)[step]).alias(step), BUCKET, BITS, (F.col("_shift") == 0).alias("_there"))
-    united = spread.groupBy(*by, step, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS), F.bool_or("_there").alias("_there"))
-    return united.groupBy(*by, step).agg(F.sum(F.bitmap_count(BITS)).cast("bigint").alias(name), F.bool_or("_there").alias("_there")).where(
+    united = spread.groupBy(*by, step, BUCKET).agg(F.bit_or(BITS).alias(BITS), F.bool_or("_there").alias("_there"))
+    return united.groupBy(*by, step).agg(F.sum(F.bit_count(BITS)).cast("bigint").alias(name), F.bool_or("_there").alias("_there")).where(
         "_there").drop("_there")
