@@ -115,8 +115,8 @@ _TRANSACTIONS = f"""
   FROM (SELECT * FROM {{lineitem}} LATERAL VIEW inline({{days}}) AS no, snapshot_date
         LATERAL VIEW explode(if({{faults}} AND l_orderkey % 97 = 0, array(false, true), array(false))) AS stray
         WHERE date(l_shipdate) <= snapshot_date)
-  LEFT JOIN (SELECT o_orderkey, o_custkey, {_CODES} FROM {{orders}}) ON o_orderkey = l_orderkey
-  LEFT JOIN ({_BUYERS}) ON c_custkey = o_custkey
+  LEFT JOIN (SELECT o_orderkey, awarding_agency, awarding_sub_agency, {_CODES}
+             FROM {{orders}} LEFT JOIN ({_BUYERS}) ON c_custkey = o_custkey) ON o_orderkey = l_orderkey
   LEFT JOIN ({_VENDORS}) ON s_suppkey = l_suppkey
 """
 _DETAILS = f"""

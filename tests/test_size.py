@@ -1,6 +1,9 @@
 """What is written and shuffled on the way grows no faster than the input, and no step repeats another's work."""
 
+import re
+
 from obligato.operators import bitmaps
+from testbed import adapter
 
 
 def test_a_group_takes_no_more_bits_than_its_values_need(spark):
@@ -11,3 +14,11 @@ def test_a_group_takes_no_more_bits_than_its_values_need(spark):
     assert dict(sets.dtypes)["_bits"] == "bigint" and sets.count() == 500
     assert {r["n"] for r in bitmaps.counted(sets, ["g"], "n").collect()} == {1}
     assert bitmaps.counted(sets, [], "n").first()["n"] == 500
+
+
+def test_buyers_meet_orders_before_lines(spark, tmp_path):
+    for name, schema in adapter.SCHEMAS.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    plan = adapter.raw_transactions(spark, str(tmp_path))._jdf.queryExecution().analyzed().toString()
+    joins = re.findall(r"Join LeftOuter, \((\w+)#\d+L? = \w+", plan)
+    assert joins.index("o_orderkey") < joins.index("c_custkey")  # the outermost join comes first
