@@ -1,9 +1,19 @@
 """What is written and shuffled on the way grows no faster than the input, and no step repeats another's work."""
 
+import glob
+import gzip
 import re
 
 from obligato.operators import bitmaps
-from testbed import adapter
+from testbed import adapter, queries
+
+
+def test_lines_are_landed_compressed_in_files_of_bounded_length(spark, monkeypatch):
+    monkeypatch.setattr(queries, "LANDED_LINES", 40)
+    path = queries._land(spark, spark.range(100).repartition(1).selectExpr("CONCAT('{\"id\": ', id, '}') AS value"))
+    files = [gzip.open(f, "rt").read().splitlines() for f in glob.glob(f"{path.removeprefix('file:')}/part-*.gz")]
+    assert sorted(map(len, files)) == [20, 40, 40]
+    assert {r["id"] for r in spark.read.schema("id long").json(path).collect()} == set(range(100))
 
 
 def test_a_group_takes_no_more_bits_than_its_values_need(spark):
