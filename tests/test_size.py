@@ -1,11 +1,18 @@
 """What is written and shuffled on the way grows no faster than the input, and no step repeats another's work."""
 
+import datetime as dt
 import glob
 import gzip
 import re
 
 from obligato.operators import bitmaps
+from obligato.plans import ingest
+from obligato.sources.raw_store import DayStore
+from obligato.sources.versioned import Versions
 from testbed import adapter, queries
+from tests.handmade import action, award, detail, frames
+
+DAY = dt.date(2023, 1, 2)
 
 
 def test_lines_are_landed_compressed_in_files_of_bounded_length(spark, monkeypatch):
@@ -32,3 +39,37 @@ def test_buyers_meet_orders_before_lines(spark, tmp_path):
     plan = adapter.raw_transactions(spark, str(tmp_path))._jdf.queryExecution().analyzed().toString()
     joins = re.findall(r"Join LeftOuter, \((\w+)#\d+L? = \w+", plan)
     assert joins.index("o_orderkey") < joins.index("c_custkey")  # the outermost join comes first
+
+
+def test_copies_are_looked_for_only_where_a_key_repeats(spark, tmp_path, monkeypatch):
+    awards = [award(f"A{i}") for i in range(60)]
+    actions = [action(f"A{i}", "0", "2023-01-01", 1.0) for i in range(60)]
+    looked, find = [], ingest.duplicates.repeated_digests
+    monkeypatch.setattr(ingest.duplicates, "repeated_digests", lambda marked: looked.append(marked.columns) or find(marked))
+    for more, found in (([], 0), (actions[:5], 1)):
+        store = DayStore(spark, str(tmp_path / f"raw{found}"))
+        pull = frames(spark, awards, actions + more, details=[detail(f"A{i}", "2027-01-01", "2027-06-01") for i in range(60)])
+        ingest.load_day(store, DAY, *pull, min_rows=1)
+        assert len(looked) == found and store.read("raw_transactions").count() == 60
+
+
+def test_a_pull_that_is_loaded_often_is_built_once(spark, monkeypatch):
+    plans = []
+    pull = spark.range(5).selectExpr("CONCAT('ORD_', id) AS award_key", "CAST(id AS DOUBLE) AS award_amount")
+    monkeypatch.setattr(queries, "_clean_pull", lambda *_: (pull, pull, pull))
+    monkeypatch.setattr(queries.ingest, "load_day", lambda store, day, *rows: plans.extend(
+        r._jdf.queryExecution().optimizedPlan().toString() for r in rows))
+    queries.load_all_or_nothing(spark, "")
+    assert len(plans) == 12 and not any("Range (" in plan for plan in plans)
+
+
+def test_stored_tables_are_written_in_the_tighter_codec(spark, tmp_path):
+    store = DayStore(spark, str(tmp_path / "raw"))
+    store.replace_day("raw_awards", DAY, frames(spark, awards=[award("A1")])[0])
+    draft = Versions(spark, str(tmp_path / "versions")).begin()
+    draft.keep("plain", spark.range(10))
+    draft.keep_by_key("bucketed", spark.range(10).selectExpr("id AS award_key"), "award_key")
+    queries.stored(spark, spark.range(10), "zstd-stored")
+    for root in (f"{tmp_path}/raw", f"{tmp_path}/versions", spark.conf.get("spark.checkpoint.dir") + "/zstd-stored-*"):
+        files = glob.glob(f"{root}/**/part-*.parquet", recursive=True)
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
