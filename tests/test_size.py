@@ -5,7 +5,7 @@ import glob
 import gzip
 import re
 
-from obligato.operators import bitmaps
+from obligato.operators import bitmaps, intervals
 from obligato.plans import ingest
 from obligato.sources.raw_store import DayStore
 from obligato.sources.versioned import Versions
@@ -73,3 +73,12 @@ def test_stored_tables_are_written_in_the_tighter_codec(spark, tmp_path):
     for root in (f"{tmp_path}/raw", f"{tmp_path}/versions", spark.conf.get("spark.checkpoint.dir") + "/zstd-stored-*"):
         files = glob.glob(f"{root}/**/part-*.parquet", recursive=True)
         assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_a_day_is_merged_into_the_intervals_by_one_shuffle(spark):
+    none = spark.createDataFrame([], "k string, v double, valid_from date, valid_to date")
+    rows = spark.createDataFrame([("A", 1.0), ("A", 1.0), ("B", -0.0)], "k string, v double")
+    merged = intervals.with_day(none, rows, [], DAY)
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(map(repr, merged.collect())) == [repr(r) for r in spark.createDataFrame(
+        [("A", 1.0, DAY, None), ("B", 0.0, DAY, None)], none.schema).collect()]
