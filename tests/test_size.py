@@ -3,6 +3,7 @@
 import datetime as dt
 import glob
 import gzip
+import os
 import re
 
 from obligato.operators import bitmaps, intervals
@@ -82,3 +83,27 @@ def test_a_day_is_merged_into_the_intervals_by_one_shuffle(spark):
     assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     assert sorted(map(repr, merged.collect())) == [repr(r) for r in spark.createDataFrame(
         [("A", 1.0, DAY, None), ("B", 0.0, DAY, None)], none.schema).collect()]
+
+
+def test_lines_are_put_together_by_order_and_need_no_shuffle_by_award(spark, tmp_path):
+    for name, schema in adapter.SCHEMAS.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for with_award in (False, True):
+        lines = queries._clean_pull(spark, str(tmp_path), adapter.AS_OF, with_award)[1]
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(l_orderkey" in plan and "Exchange hashpartitioning(award_key" not in plan
+
+
+def test_a_draft_without_copies_becomes_the_day(spark, tmp_path, monkeypatch):
+    awards = [award(f"A{i}") for i in range(60)]
+    actions = [action(f"A{i}", "0", "2023-01-01", 1.0) for i in range(60)]
+    store, written = DayStore(spark, str(tmp_path / "raw")), []
+    replace = store.replace_day
+    monkeypatch.setattr(store, "replace_day", lambda table, *rest: written.append(table) or replace(table, *rest))
+    for more, tables in ((actions[:5], ["raw_transactions"]), ([], [])):
+        written.clear()
+        pull = frames(spark, awards, actions + more, details=[detail(f"A{i}", "2027-01-01", "2027-06-01") for i in range(60)])
+        ingest.load_day(store, DAY, *pull, min_rows=1)
+        assert written == tables
+        assert [store.read(table).count() for table in store.schemas] == [60, 60, 60]
+        assert sorted(os.listdir(store.root)) == sorted(store.schemas)
