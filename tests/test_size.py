@@ -6,8 +6,12 @@ import gzip
 import os
 import re
 
+import pyarrow.parquet as pq
+
 from obligato.operators import bitmaps, intervals
-from obligato.plans import ingest
+from obligato.operators.checks import unmatched
+from obligato.plans import audit, ingest, marts, publish
+from obligato.sources.files import writer
 from obligato.sources.raw_store import DayStore
 from obligato.sources.versioned import Versions
 from testbed import adapter, queries
@@ -107,3 +111,47 @@ def test_a_draft_without_copies_becomes_the_day(spark, tmp_path, monkeypatch):
         assert written == tables
         assert [store.read(table).count() for table in store.schemas] == [60, 60, 60]
         assert sorted(os.listdir(store.root)) == sorted(store.schemas)
+
+
+def test_ids_are_written_without_dictionaries(spark, tmp_path):
+    rows = spark.range(1000, numPartitions=1).selectExpr("concat('AWARD', id % 100) AS award_key", "concat('N', id % 5) AS naics_code")
+    writer(rows).save(str(tmp_path / "plain"))
+    Versions(spark, str(tmp_path / "versions")).begin().keep_by_key("bucketed", rows, "award_key")
+    for file in glob.glob(f"{tmp_path}/**/part-*.parquet", recursive=True):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        dictionary = {group.column(i).path_in_schema: group.column(i).has_dictionary_page for i in range(2)}
+        assert dictionary == {"award_key": False, "naics_code": True}
+    assert spark.read.parquet(str(tmp_path / "plain")).exceptAll(rows).isEmpty()
+
+
+def test_buckets_are_not_sorted_beyond_need(spark, tmp_path):
+    draft = Versions(spark, str(tmp_path)).begin()
+    rows = spark.range(1000).selectExpr("CAST(id % 300 AS STRING) AS award_key", "id AS n")
+    draft.keep_spread("t", rows, "award_key")
+    part = draft.tables["t"]["parts"][0]
+    for _ in range(2):
+        told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED `{draft.versions.declared(part)}`").collect()}
+        assert told.get("Sort Columns", "[]") == "[]" and told["Num Buckets"] == str(part["buckets"])
+        assert draft.versions.read_part(part).exceptAll(rows).isEmpty()
+        spark.sql(f"DROP TABLE `{draft.versions.declared(part)}`")
+
+
+def test_the_audit_reads_the_actions_once(spark, tmp_path):
+    days = [("A1", "0"), ("A1", "0"), ("A1", "1"), ("A2", "0"), ("LOST", "0"), ("LOST", "0"), (None, "0"), (None, None), (None, None)]
+    spark.createDataFrame(days, "award_key string, modification_number string").write.parquet(str(tmp_path / "actions"))
+    staged = spark.createDataFrame([("A1",), ("A1",), ("A2",), ("A3",), (None,)], "award_key string")
+    fact = publish.build(*frames(spark))["fact_awards"]
+    results = audit.audit_results(fact, spark.read.parquet(str(tmp_path / "actions")), marts.recompetes(fact), staged, (0, 1))
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<award_key:string,modification_number:string>") == 1
+    found = {r["check"]: r["failing_rows"] for r in results.collect()}
+    assert found["unique_obligation_key"] == 3 and found["obligations_belong_to_awards"] == 5
+
+
+def test_rows_of_unknown_keys_are_found_by_one_shuffle(spark):
+    rows = spark.createDataFrame([("A",), ("A",), ("B",), ("B",), ("C",), (None,), (None,)], "k string")
+    known = spark.createDataFrame([("A",), ("A",), ("D",), (None,)], "k string")
+    found = unmatched(rows, known, "k")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert {tuple(r) for r in found.collect()} == {("B", 2), ("C", 1), (None, 2)}
